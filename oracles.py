@@ -305,13 +305,15 @@ NEEDS = {
 }
 
 
-def _with(names: list[str], select: str) -> str:
+def with_tables(names: list[str], select: str, given: tuple[str, ...] = ()) -> str:
+    """``select`` over the named CTEs; ``given`` are tables the database has."""
     needed: set[str] = set()
 
     def add(name: str) -> None:
-        for other in NEEDS.get(name, []):
-            add(other)
-        needed.add(name)
+        if name not in given:
+            needed.add(name)
+            for other in NEEDS.get(name, []):
+                add(other)
 
     for name in names:
         add(name)
@@ -381,70 +383,71 @@ _GROSS = """
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "events_bronze": _with(["events_bronze"], _RESCUED),
-        "marketing_spend_bronze": _with(
-            ["marketing_bronze"],
-            "SELECT date, channel, CAST(spend AS VARCHAR) AS spend FROM marketing_bronze",
+        "events_bronze": with_tables(["events_bronze"], _RESCUED),
+        "marketing_spend_bronze": with_tables(
+            ["marketing_bronze"],  # a CSV field without text is read as null
+            "SELECT date, nullif(channel, '') AS channel, CAST(spend AS VARCHAR) AS spend"
+            " FROM marketing_bronze",
         ),
-        "subscriptions_bronze": _with(
+        "subscriptions_bronze": with_tables(
             ["subscriptions_bronze"],
             "SELECT * EXCLUDE (_ingest_timestamp)"
             " REPLACE (CAST(price AS VARCHAR) AS price) FROM subscriptions_bronze",
         ),
-        "events_quarantine": _with(
+        "events_quarantine": with_tables(
             ["events_faults"],
             "SELECT * FROM events_faults WHERE _quarantine_reason IS NOT NULL",
         ),
-        "marketing_spend_quarantine": _with(
+        "marketing_spend_quarantine": with_tables(
             ["marketing_faults"],
             "SELECT * FROM marketing_faults WHERE _quarantine_reason IS NOT NULL",
         ),
-        "normalized_timestamps": _with(
+        "normalized_timestamps": with_tables(
             ["events_parsed"],
             "SELECT event_id, timestamp, _timestamp_utc, event_date FROM events_parsed",
         ),
-        "unified_event_schema": _with(
+        "unified_event_schema": with_tables(
             ["events_bronze"],
             "SELECT event_id, schema_version, currency, tax, user_id,"
             " user_id IS NULL AS _user_id_missing FROM events_bronze",
         ),
-        "events_silver": _with(["events_silver"], "SELECT * FROM events_silver"),
-        "marketing_spend_silver": _with(["marketing_silver"], "SELECT * FROM marketing_silver"),
-        "subscriptions_silver": _with(
+        "events_silver": with_tables(["events_silver"], "SELECT * FROM events_silver"),
+        "marketing_spend_silver": with_tables(["marketing_silver"], "SELECT * FROM marketing_silver"),
+        "subscriptions_silver": with_tables(
             ["subscriptions_silver"], "SELECT * FROM subscriptions_silver"
         ),
-        "expectation_report": _with(
+        "expectation_report": with_tables(
             ["events_silver", "marketing_silver", "subscriptions_checked"], EXPECTATIONS
         ),
-        "daily_active_users": _with(
+        "daily_active_users": with_tables(
             ["known_users"],
             "SELECT event_date, count(DISTINCT user_id) AS dau, count(event_id) AS total_events"
             " FROM known_users GROUP BY event_date",
         ),
-        "daily_revenue_gross": _with(["gross"], _GROSS),
-        "daily_revenue_net": _with(
+        "daily_revenue_gross": with_tables(["gross"], _GROSS),
+        "daily_revenue_net": with_tables(
             ["gross", "refunds"],
             "SELECT g.event_date, round(gross_revenue, 2) AS gross_revenue,"
             " round(coalesce(total_refunds, 0), 2) AS total_refunds,"
             " round(gross_revenue - coalesce(total_refunds, 0), 2) AS net_revenue"
             " FROM gross g LEFT JOIN refunds r ON g.event_date = r.event_date",
         ),
-        "weekly_cohort_retention": _with(
+        "weekly_cohort_retention": with_tables(
             ["cohort_activity", "cohort_sizes"],
             "SELECT cohort_week, weeks_since_signup, active_users, cohort_size,"
             " CAST(round(CAST(active_users / cohort_size AS DECIMAL(38, 10)), 4) AS DOUBLE)"
             " AS retention_rate"
             " FROM cohort_activity JOIN cohort_sizes USING (cohort_week)",
         ),
-        "ltv_per_user": _with(
+        "ltv_per_user": with_tables(
             ["ltv"],
             "SELECT * REPLACE (round(total_purchases, 2) AS total_purchases,"
             " round(total_refunds, 2) AS total_refunds) FROM ltv",
         ),
-        "cac_by_channel": _with(
+        "cac_by_channel": with_tables(
             ["cac"], "SELECT * REPLACE (round(total_spend, 2) AS total_spend) FROM cac"
         ),
-        "mrr_daily": _with(
+        "mrr_daily": with_tables(
             ["subscriptions_silver", "spine"],
             f"SELECT spine_date AS date, round({total('price')}, 2) AS mrr,"
             " count(DISTINCT subscription_id) AS active_subscriptions,"
@@ -455,23 +458,23 @@ def oracle_sql() -> dict[str, str]:
             " AND (s.end_date IS NULL OR s.end_date >= spine_date)"
             " GROUP BY spine_date",
         ),
-        "ltv_cac_ratio": _with(
+        "ltv_cac_ratio": with_tables(
             ["channel_ratio"],
             "SELECT acquisition_channel, total_customers, round(avg_ltv, 6) AS avg_ltv,"
             " round(total_ltv, 2) AS total_ltv, avg_cac, round(total_spend, 2) AS total_spend,"
             " ltv_cac_ratio, ltv_cac_ratio >= 3.0 AS is_healthy FROM channel_ratio",
         ),
-        "date_spine": _with(["spine"], "SELECT spine_date FROM spine"),
-        "table_roundtrip": _with(["gross"], _GROSS),
-        "users": _with(["users_table"], "SELECT * FROM users_table"),
-        "email_validity_by_user_type": _with(
+        "date_spine": with_tables(["spine"], "SELECT spine_date FROM spine"),
+        "table_roundtrip": with_tables(["gross"], _GROSS),
+        "users": with_tables(["users_table"], "SELECT * FROM users_table"),
+        "email_validity_by_user_type": with_tables(
             ["users_table"],
             "SELECT user_type, count(user_id) AS total_count,"
             " count(*) FILTER (WHERE coalesce(regexp_matches(email,"
             " '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$'), false)) AS count_valid_emails"
             " FROM users_table GROUP BY user_type",
         ),
-        "user_type_counts": _with(
+        "user_type_counts": with_tables(
             ["users_table"],
             "SELECT user_type, count(user_type) AS total_count FROM users_table"
             " GROUP BY user_type",

@@ -1,0 +1,174 @@
+"""Random small tables: the single-pass and sweep forms against plain SQL joins."""
+
+import sys
+
+import duckdb
+import pyarrow as pa
+import pytest
+from frames import (
+    EVENTS_SILVER,
+    MARKETING_SILVER,
+    SUBSCRIPTIONS_SILVER,
+    frame,
+    random_events,
+    random_spend,
+    random_subscriptions,
+    silver_event,
+    subscription,
+)
+from pyspark.sql import functions as F
+
+sys.path.insert(0, ".")
+
+import oracles
+from compare import rows_of
+from tidemark import fixtures
+from tidemark.plans.acquisition import cac_by_channel, ltv_cac_ratio
+from tidemark.plans.activity import daily_active_users, weekly_cohort_retention
+from tidemark.plans.recurring import mrr_daily
+from tidemark.plans.revenue import daily_revenue_gross, daily_revenue_net, ltv_per_user
+
+SEEDS = range(4)
+
+
+def database(**tables):
+    """DuckDB holding Spark frames; timestamps without a zone, as both mean UTC."""
+    connection = duckdb.connect()
+    for name, df in tables.items():
+        arrow = df.toArrow()
+        schema = pa.schema(
+            [
+                pa.field(f.name, pa.timestamp("us") if pa.types.is_timestamp(f.type) else f.type)
+                for f in arrow.schema
+            ]
+        )
+        connection.register(name, arrow.cast(schema))
+    return connection
+
+
+def assert_same(df, connection, sql):
+    cursor = connection.execute(sql)
+    columns = [item[0] for item in cursor.description]
+    assert sorted(columns) == sorted(df.columns)
+    rounded = df.select(
+        *[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+    )
+    theirs = [
+        tuple(round(v, 6) if isinstance(v, float) else v for v in row) for row in cursor.fetchall()
+    ]
+    ours = [tuple(row) for row in rounded.collect()]
+    assert rows_of(df.columns, ours) == rows_of(columns, theirs)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_events_tables(spark, seed):
+    made = [silver_event(number, **row) for number, row in enumerate(random_events(seed))]
+    events = frame(spark, EVENTS_SILVER, made).repartition(3).cache()
+    spend = frame(spark, MARKETING_SILVER, random_spend(seed))
+    connection = database(events_silver=events, marketing_silver=spend)
+
+    def sql(names, select):
+        return oracles.with_tables(names, select, ("events_silver", "marketing_silver"))
+
+    assert_same(
+        daily_active_users(events),
+        connection,
+        sql(["known_users"], "SELECT event_date, count(DISTINCT user_id) AS dau,"
+            " count(event_id) AS total_events FROM known_users GROUP BY event_date"),
+    )
+    assert_same(daily_revenue_gross(events), connection, sql(["gross"], "SELECT * FROM gross"))
+    assert_same(
+        daily_revenue_net(events),
+        connection,
+        sql(["gross", "refunds"], "SELECT g.event_date, gross_revenue,"
+            " coalesce(total_refunds, 0.0) AS total_refunds,"
+            " gross_revenue - coalesce(total_refunds, 0.0) AS net_revenue"
+            " FROM gross g LEFT JOIN refunds r ON g.event_date = r.event_date"),
+    )
+    assert_same(
+        weekly_cohort_retention(events),
+        connection,
+        sql(["cohort_activity", "cohort_sizes"], "SELECT cohort_week, weeks_since_signup,"
+            " active_users, cohort_size, round(active_users / cohort_size, 4) AS retention_rate"
+            " FROM cohort_activity JOIN cohort_sizes USING (cohort_week)"),
+    )
+    ltv = ltv_per_user(events)
+    assert_same(ltv, connection, sql(["ltv"], "SELECT * FROM ltv"))
+    cac = cac_by_channel(events, spend)
+    assert_same(cac, connection, sql(["cac"], "SELECT * FROM cac"))
+    assert_same(
+        ltv_cac_ratio(ltv, spend, cac),
+        connection,
+        sql(["channel_ratio"], "SELECT acquisition_channel, total_customers, avg_ltv, total_ltv,"
+            " avg_cac, total_spend, ltv_cac_ratio, ltv_cac_ratio >= 3.0 AS is_healthy"
+            " FROM channel_ratio"),
+    )
+    retention = weekly_cohort_retention(events)
+    assert retention.filter("weeks_since_signup = 0 AND retention_rate <> 1").count() == 0
+    acquired = cac.agg(F.sum("new_customers")).first()[0]
+    per_day = "SELECT sum(new_customers) FROM new_customers"
+    assert acquired == connection.execute(sql(["new_customers"], per_day)).fetchall()[0][0]
+    events.unpersist()
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_mrr(spark, seed):
+    made = [subscription(number, **row) for number, row in enumerate(random_subscriptions(seed))]
+    subscriptions = frame(spark, SUBSCRIPTIONS_SILVER, made).repartition(3)
+    connection = database(subscriptions_silver=subscriptions)
+    low, high = "2023-12-15", "2024-03-20"
+    sql = f"""
+        SELECT day AS date, {oracles.total("price")} AS mrr,
+            count(DISTINCT subscription_id) AS active_subscriptions,
+            count(DISTINCT user_id) AS subscribed_users
+        FROM (SELECT CAST(unnest(generate_series(DATE '{low}', DATE '{high}', INTERVAL 1 DAY))
+                          AS DATE) AS day)
+        LEFT JOIN (SELECT * FROM subscriptions_silver WHERE status = 'active') s
+            ON start_date <= day AND (end_date IS NULL OR end_date >= day)
+        GROUP BY day"""
+    from datetime import date
+
+    table = mrr_daily(subscriptions, date.fromisoformat(high), date.fromisoformat(low))
+    assert_same(table, connection, sql)
+
+
+def digest(df):
+    return sorted(str(row) for row in df.collect())
+
+
+def test_results_do_not_depend_on_the_layout(spark, sf_dir):
+    """Bitwise the same with another order of rows and another number of partitions."""
+    import __spark_entry__ as entry_points
+    from tidemark.operators.events import events_silver
+    from tidemark.operators.marketing import marketing_spend_silver
+    from tidemark.operators.subscriptions import subscriptions_silver
+
+    def tables(arrange):
+        events = events_silver(arrange(fixtures.events_bronze(spark, sf_dir)))
+        spend = marketing_spend_silver(arrange(fixtures.marketing_spend_bronze(spark, sf_dir)))
+        subscriptions = subscriptions_silver(
+            arrange(fixtures.subscriptions_bronze(spark, sf_dir)), crowded_users=[]
+        )
+        ltv, cac = ltv_per_user(events), cac_by_channel(events, spend)
+        return [
+            events,
+            spend,
+            subscriptions,
+            daily_revenue_gross(events),
+            daily_revenue_net(events),
+            weekly_cohort_retention(events),
+            ltv,
+            cac,
+            ltv_cac_ratio(ltv, spend, cac),
+            mrr_daily(subscriptions, fixtures.MRR_AS_OF, fixtures.MRR_START),
+        ]
+
+    assert entry_points.queries()
+    expected = [digest(df) for df in tables(lambda df: df)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        shuffled = [digest(df) for df in tables(lambda df: df.orderBy(F.rand(7)).repartition(5))]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert shuffled == expected

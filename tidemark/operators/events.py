@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.parsing import parse_timestamp
-from tidemark.functions.rules import first_reason
+from tidemark.functions.rules import Rules, first_reason, is_clean
 from tidemark.operators.dedup import keep_first
 from tidemark.operators.quality import Rule
 from tidemark.schemas import EVENT_TYPES, EVENTS_BRONZE, ensure_columns
@@ -38,30 +38,28 @@ EVENTS_SILVER_COLUMNS = [
 ]
 
 
-def event_fault() -> Column:
-    """Why a bronze event is unusable; null when it is fine."""
-    return first_reason(
-        [
-            ("corrupted_json", F.col("_rescued_data").isNotNull()),
-            ("null_event_id", F.col("event_id").isNull()),
-            ("null_event_type", F.col("event_type").isNull()),
-            ("null_timestamp", F.col("timestamp").isNull()),
-            ("invalid_event_type", ~F.col("event_type").isin(EVENT_TYPES)),
-        ]
-    )
+def event_faults() -> Rules:
+    """What makes a bronze event unusable, in order of precedence."""
+    return [
+        ("corrupted_json", F.col("_rescued_data").isNotNull()),
+        ("null_event_id", F.col("event_id").isNull()),
+        ("null_event_type", F.col("event_type").isNull()),
+        ("null_timestamp", F.col("timestamp").isNull()),
+        ("invalid_event_type", ~F.col("event_type").isin(EVENT_TYPES)),
+    ]
 
 
 def events_quarantine(bronze: DataFrame) -> DataFrame:
     """Unusable events with ``_quarantine_reason``; all bronze columns kept."""
     bronze = ensure_columns(bronze, EVENTS_BRONZE)
-    return bronze.withColumn("_quarantine_reason", event_fault()).filter(
+    return bronze.withColumn("_quarantine_reason", first_reason(event_faults())).filter(
         F.col("_quarantine_reason").isNotNull()
     )
 
 
 def valid_events(bronze: DataFrame) -> DataFrame:
     """The complement of the quarantine, with every declared column present."""
-    return ensure_columns(bronze, EVENTS_BRONZE).filter(event_fault().isNull())
+    return ensure_columns(bronze, EVENTS_BRONZE).filter(is_clean(event_faults()))
 
 
 def deduplicate_events(events: DataFrame) -> DataFrame:

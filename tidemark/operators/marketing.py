@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.parsing import parse_date, parse_double
-from tidemark.functions.rules import first_reason
+from tidemark.functions.rules import Rules, first_reason, is_clean
 from tidemark.operators.quality import DROP, Rule, drop_violations
 
 MARKETING_RULES = [
@@ -17,24 +17,22 @@ MARKETING_RULES = [
 ]
 
 
-def spend_fault() -> Column:
-    """Why a spend row with a parsed date is unusable; null when it is fine."""
+def spend_faults() -> Rules:
+    """What makes a spend row with a parsed date unusable, in order of precedence."""
     channel, spend = F.col("channel"), parse_double(F.col("spend"))
-    return first_reason(
-        [
-            ("missing_date", F.col("date").isNull()),
-            ("missing_channel", channel.isNull() | (channel == "")),
-            ("null_spend", spend.isNull()),
-            ("negative_spend", spend < 0),
-        ]
-    )
+    return [
+        ("missing_date", F.col("date").isNull()),
+        ("missing_channel", channel.isNull() | (channel == "")),
+        ("null_spend", spend.isNull()),
+        ("negative_spend", spend < 0),
+    ]
 
 
 def marketing_spend_quarantine(bronze: DataFrame) -> DataFrame:
     """Unusable spend rows with ``_quarantine_reason``; the date is parsed."""
     return (
         bronze.withColumn("date", parse_date(F.col("date")))
-        .withColumn("_quarantine_reason", spend_fault())
+        .withColumn("_quarantine_reason", first_reason(spend_faults()))
         .filter(F.col("_quarantine_reason").isNotNull())
     )
 
@@ -43,7 +41,7 @@ def valid_spend(bronze: DataFrame) -> DataFrame:
     """The complement of the quarantine, with typed date and spend."""
     return (
         bronze.withColumn("date", parse_date(F.col("date")))
-        .filter(spend_fault().isNull())
+        .filter(is_clean(spend_faults()))
         .withColumn("spend", parse_double(F.col("spend")))
     )
 
