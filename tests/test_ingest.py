@@ -1,0 +1,102 @@
+import datetime as dt
+import json
+
+import pytest
+
+from tidemark.sources.files import read_subscriptions
+from tidemark.streaming.ingest import append_new, stream_events, stream_marketing
+
+STAMP = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
+
+LINES = [
+    '{"event_id": "good", "amount": 12.5, "timestamp": "2024-01-15 10:30:00"}',
+    '{"event_id": "quoted", "amount": "12.5"}',
+    '{"event_id": "mismatch", "amount": "zz"}',
+    '{"event_id": "cut", "amo',
+    '{"event_id": "extra", "campaign": "x", "tax": 1}',
+    '{"event_id": 7, "amount": null}',
+    "",
+    "   ",
+    "[1, 2]",
+]
+
+
+@pytest.fixture
+def feed(tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "events_1.ndjson").write_text("\n".join(LINES) + "\n")
+    (src / "marketing_spend_1.csv").write_text(
+        'date,channel,spend\n2024-01-01,ads,10.50\n2024-01-02,"",x\n,tv,-1\n'
+    )
+    (src / "subscriptions.json").write_text('[{"subscription_id": "not an event"}]')
+    return src
+
+
+def ingest(spark, tmp_path, stream, name):
+    append_new(stream, str(tmp_path / name), str(tmp_path / f"{name}_checkpoint"))
+    return spark.read.parquet(str(tmp_path / name))
+
+
+def test_event_lines(spark, feed, tmp_path):
+    bronze = ingest(spark, tmp_path, stream_events(spark, str(feed), STAMP), "events")
+    rows = {row["event_id"]: row for row in bronze.collect()}
+    assert bronze.count() == 7
+    assert rows["good"]["amount"] == rows["quoted"]["amount"] == 12.5
+    assert rows["good"]["_rescued_data"] is None and rows["good"]["_extra_keys"] is None
+    assert rows["mismatch"]["_rescued_data"] == LINES[2]
+    assert rows["mismatch"]["amount"] is None
+    assert rows["extra"]["_extra_keys"] == ["campaign"] and rows["extra"]["tax"] == 1.0
+    assert rows["extra"]["_rescued_data"] is None
+    assert rows["7"]["_rescued_data"] is None
+    rescued = {row["_rescued_data"] for row in bronze.collect()}
+    assert {LINES[3], LINES[8]} <= rescued
+    assert {row["_ingest_timestamp"] for row in bronze.collect()} == {dt.datetime(2024, 2, 1)}
+
+
+def test_marketing_files(spark, feed, tmp_path):
+    bronze = ingest(spark, tmp_path, stream_marketing(spark, str(feed)), "marketing")
+    assert sorted(tuple(row)[:3] for row in bronze.collect() if row["date"]) == [
+        ("2024-01-01", "ads", "10.50"),
+        ("2024-01-02", None, "x"),
+    ]
+    assert bronze.filter("date IS NULL").first()["spend"] == "-1"
+    assert bronze.filter("_ingest_timestamp IS NULL").count() == 0
+
+
+def test_second_run_takes_new_files_only(spark, feed, tmp_path):
+    def run():
+        stream = stream_events(spark, str(feed), max_files_per_trigger=1)
+        return ingest(spark, tmp_path, stream, "events")
+
+    assert run().count() == 7
+    assert run().count() == 7
+    (feed / "events_2.ndjson").write_text('{"event_id": "new"}\n')
+    (feed / "events_3.ndjson").write_text('{"event_id": "newer"}\n')
+    twice = run()
+    assert twice.count() == 9
+
+    once = ingest(spark, tmp_path, stream_events(spark, str(feed)), "at_once")
+    columns = [name for name in once.columns if name != "_ingest_timestamp"]
+    assert sorted(map(str, twice.select(columns).collect())) == sorted(
+        map(str, once.select(columns).collect())
+    )
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_subscriptions(spark, tmp_path, multiline):
+    records = [
+        {"subscription_id": "s1", "price": 19.99, "start_date": "2024-01-01"},
+        {"subscription_id": "s2", "price": "5", "unknown": 1},
+    ]
+    text = (
+        json.dumps(records, indent=2)
+        if multiline
+        else "\n".join(json.dumps(record) for record in records)
+    )
+    (tmp_path / "subscriptions.json").write_text(text)
+    for path in (tmp_path / "subscriptions.json", tmp_path):
+        bronze = read_subscriptions(spark, str(path), multiline, STAMP)
+        rows = {row["subscription_id"]: row for row in bronze.collect()}
+        assert {key: row["price"] for key, row in rows.items()} == {"s1": "19.99", "s2": "5"}
+        assert rows["s1"]["_ingest_timestamp"] == dt.datetime(2024, 2, 1)

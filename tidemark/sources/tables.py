@@ -56,6 +56,8 @@ class Warehouse:
                 f"ALTER TABLE {full_name} SET TBLPROPERTIES (:key = :value)",
                 args={"key": key, "value": value},
             )
+        if any(column.isPartition for column in self.spark.catalog.listColumns(full_name)):
+            self.spark.catalog.recoverPartitions(full_name)
 
 
 def date_spine(spark: SparkSession, start: dt.date, as_of: dt.date) -> DataFrame:
