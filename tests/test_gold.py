@@ -1,6 +1,7 @@
 """Hand-made cases of the business tables."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from frames import (
@@ -12,7 +13,9 @@ from frames import (
     frame,
     subscriptions_silver,
 )
+from pyspark.sql import functions as F
 
+from tidemark.functions.money import money_sum
 from tidemark.plans.acquisition import cac_by_channel, ltv_cac_ratio
 from tidemark.plans.activity import daily_active_users, weekly_cohort_retention
 from tidemark.plans.recurring import mrr_daily
@@ -85,6 +88,9 @@ def test_net_revenue(spark):
 def test_money_that_is_no_money_is_not_lost(spark):
     events = events_silver(spark, {"amount": 1e300}, {"amount": 1.0}, {"amount": 1e300})
     assert daily_revenue_gross(events).first()["gross_revenue"] == 2e300
+    # Finer than a millionth, beside an amount that is not.
+    events = events_silver(spark, {"amount": 2.0**-30}, {"amount": 0.5})
+    assert daily_revenue_gross(events).first()["gross_revenue"] == 0.5 + 2.0**-30
     events = events_silver(spark, {"amount": float("nan")}, {"amount": 1.0})
     gross = daily_revenue_gross(events).first()["gross_revenue"]
     assert gross != gross
@@ -277,6 +283,26 @@ def test_mrr_leaves_no_residue(spark):
     assert found[11][0] == 0.1 and found[12][0] is None and found[2][0] == 1.0
 
 
+def test_money_sums_are_exact(spark):
+    amounts = [0.1, 0.2, 999_999_999.999999, 1_234_567_890.12, -0.3, 0.000001, -987_654.321]
+    df = spark.createDataFrame([(a,) for a in amounts], "a double").repartition(3)
+    ordinary = [a for a in amounts if abs(a) < 1e9]
+    exact = float(sum(Decimal(str(a)) for a in ordinary))
+    assert df.filter("abs(a) < 1e9").select(money_sum(F.col("a"))).first()[0] == exact
+    assert df.select(money_sum(F.col("a"))).first()[0] == exact + 1_234_567_890.12
+    assert df.filter("a IS NULL").select(money_sum(F.col("a"))).first()[0] is None
+
+
+def test_mrr_with_prices_that_are_no_prices(spark):
+    rows = [{"price": 10.5, "start_date": jan(1)}] + [
+        {"price": price, "start_date": jan(2), "end_date": jan(2)}
+        for price in (1e20, float("nan"), float("inf"), 1e300)
+    ]
+    found = mrr_of(subscriptions_silver(spark, *rows), 1, 3)
+    assert [found[day][0] for day in (1, 2, 3)] == [10.5, 1e20, 10.5]
+    assert [found[day][1] for day in (1, 2, 3)] == [1, 5, 1]
+
+
 def test_empty_inputs(spark):
     events = frame(spark, EVENTS_SILVER, [])
     spend = frame(spark, MARKETING_SILVER, [])

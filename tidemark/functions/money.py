@@ -1,24 +1,54 @@
-"""Sums of money that do not depend on the order of the rows."""
+"""Sums of money that do not depend on the order of the rows.
+
+Doubles added in another order give another last digit, which then shows after
+rounding or division. Decimals do not, but cost five times as much as doubles in
+an aggregate. So amounts are added as whole millionths in bigints, in two halves
+that cannot overflow.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Nine decimals; sums of it get ten more digits in front.
-MONEY = "decimal(24,9)"
-_LIMIT = 1e15
+_UNITS = 1e6
+_LIMIT = 1e9
+_LOW_BITS = 20
+
+
+def is_ordinary(value: Column) -> Column:
+    """True for an amount below a billion; false for larger ones, infinity and NaN."""
+    return F.abs(value) < _LIMIT
+
+
+def in_units(value: Column) -> Column:
+    """An amount in whole millionths, null when a bigint cannot hold it.
+
+    ``try_cast``, as Spark may evaluate this for amounts a ``when`` leaves out.
+    """
+    return F.rint(value * _UNITS).try_cast("bigint")
+
+
+def sum_units(units: Column) -> Column:
+    """Exact sum of bigints as a decimal, null when there is nothing to sum."""
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    return high * F.lit(1 << _LOW_BITS) + low
+
+
+def from_units(units: Column) -> Column:
+    """A sum of millionths as a double."""
+    return (units * F.lit("0.000001").cast("decimal(6,6)")).cast("double")
 
 
 def money_sum(value: Column) -> Column:
     """Sum of a double column, null when there is nothing to sum.
 
-    Doubles added in another order give another last digit, which then shows
-    after rounding or division. Amounts are therefore added as decimals.
-    Amounts that are no sensible money (not finite, or a quadrillion and more)
-    are added as doubles, so that they neither fail the job nor get lost.
+    Amounts that are no whole number of millionths, or no ordinary amounts, are
+    added as doubles: nothing is rounded, lost or fails.
     """
-    sensible = F.abs(value) < _LIMIT
-    exact = F.sum(F.when(sensible, value.cast(MONEY))).cast("double")
-    rest = F.sum(F.when(~sensible, value))
-    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+    units = in_units(value)
+    exact = is_ordinary(value) & (units / _UNITS == value)
+    whole = from_units(sum_units(F.when(exact, units)))
+    rest = F.sum(F.when(~exact, value))
+    return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)

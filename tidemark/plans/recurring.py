@@ -4,17 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import MONEY
+from tidemark.functions.money import from_units, in_units, is_ordinary, sum_units
 from tidemark.sources.tables import date_spine
 
 SPINE_START = dt.date(2020, 1, 1)
-
-
-def _signed(sign: Column, value: Column) -> Column:
-    return F.when(sign > 0, value).otherwise(-value)
+# Prices of a billion and more, which no bigint of millionths should hold.
+LARGE = "decimal(38,6)"
 
 
 def mrr_daily(
@@ -28,8 +26,9 @@ def mrr_daily(
     Instead of matching days with subscriptions, each subscription adds its
     price on its first day and takes it back on the day after its last; running
     sums over the days give the totals. The work is linear in subscriptions, and
-    only day totals are gathered in one place. Prices are summed as decimals, so
-    that what was added is taken back exactly.
+    only day totals are gathered in one place. Prices are summed as whole millionths,
+    so that what was added is taken back exactly; a price that is not finite, or of
+    more than 32 digits, counts as none.
 
     Users may hold overlapping subscriptions. Per user and first day only the
     longest reach matters, so rows are first combined to that; each then adds
@@ -55,13 +54,14 @@ def mrr_daily(
             F.struct(F.date_add("last", 1).alias("date"), F.lit(-1).alias("sign")),
         )
     )
-    price = F.col("price").cast(MONEY)
-    no_money = F.lit(0).cast(MONEY)
-    sign = F.col("edge.sign")
+    price, sign = F.col("price"), F.col("edge.sign")
+    money = F.when(is_ordinary(price), in_units(price))
+    large_money = F.when(~is_ordinary(price), price.try_cast(LARGE))
     by_subscription = active.select("price", "subscription_id", edges.alias("edge")).select(
         "edge.date",
-        _signed(sign, F.coalesce(price, no_money)).alias("money"),
-        F.when(price.isNotNull(), sign).otherwise(0).alias("priced"),
+        (money * sign).alias("money"),
+        (large_money * sign).alias("large_money"),
+        F.when(money.isNotNull() | large_money.isNotNull(), sign).otherwise(0).alias("priced"),
         F.when(F.col("subscription_id").isNotNull(), sign).otherwise(0).alias("subscriptions"),
         F.lit(0).alias("users"),
     )
@@ -79,32 +79,40 @@ def mrr_daily(
     ).filter(F.col("first") <= F.col("last"))
     by_user = new_days.select(edges.alias("edge")).select(
         "edge.date",
-        no_money.alias("money"),
         F.lit(0).alias("priced"),
         F.lit(0).alias("subscriptions"),
         sign.alias("users"),
     )
 
+    counts = ["priced", "subscriptions", "users"]
     spine = date_spine(spark, start, as_of).select(
         F.col("spine_date").alias("date"),
-        no_money.alias("money"),
-        *[F.lit(0).alias(name) for name in ("priced", "subscriptions", "users")],
+        *[F.lit(0).alias(name) for name in counts],
     )
-    totals = ["money", "priced", "subscriptions", "users"]
     days = (
-        by_subscription.unionByName(by_user)
-        .unionByName(spine)
+        by_subscription.unionByName(by_user, allowMissingColumns=True)
+        .unionByName(spine, allowMissingColumns=True)
         .groupBy("date")
-        .agg(*[F.sum(name).alias(name) for name in totals])
+        .agg(
+            sum_units(F.col("money")).alias("money"),
+            F.sum("large_money").alias("large_money"),
+            *[F.sum(name).alias(name) for name in counts],
+        )
     )
     # One row per day: the only unpartitioned window, as long as the spine.
     running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.coalesce(from_units(F.col("money")), F.lit(0.0)) + F.coalesce(
+        F.col("large_money").cast("double"), F.lit(0.0)
+    )
     return (
-        days.select("date", *[F.sum(name).over(running).alias(name) for name in totals])
+        days.select(
+            "date",
+            *[F.sum(c).over(running).alias(c) for c in ("money", "large_money", *counts)],
+        )
         .filter(F.col("date") <= high)
         .select(
             "date",
-            F.when(F.col("priced") > 0, F.col("money").cast("double")).alias("mrr"),
+            F.when(F.col("priced") > 0, total).alias("mrr"),
             F.col("subscriptions").alias("active_subscriptions"),
             F.col("users").alias("subscribed_users"),
         )
