@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.parsing import parse_date, parse_double
 from tidemark.operators.dedup import keep_first
-from tidemark.operators.previous_row import crowded_keys, with_previous
+from tidemark.operators.previous_row import Crowded, find_crowded, with_previous
 from tidemark.operators.quality import DROP, Rule, drop_violations
 from tidemark.schemas import SUBSCRIPTION_PLANS, SUBSCRIPTION_STATUSES
 
@@ -56,7 +56,7 @@ def deduplicate_subscriptions(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def flag_history(subscriptions: DataFrame, crowded_users: list) -> DataFrame:
+def flag_history(subscriptions: DataFrame, crowded_users: Crowded) -> DataFrame:
     """Add ``is_overlapping`` and ``is_reactivation`` from the user's previous row."""
     rows = with_previous(
         subscriptions,
@@ -76,15 +76,16 @@ def flag_history(subscriptions: DataFrame, crowded_users: list) -> DataFrame:
     )
 
 
-def checked_subscriptions(bronze: DataFrame, crowded_users: list | None = None) -> DataFrame:
+def checked_subscriptions(bronze: DataFrame, crowded_users: Crowded | None = None) -> DataFrame:
     """The subscriptions table before the drop rule, for counting violations.
 
     ``crowded_users`` names users with too many rows for one task. When it is
-    not given, they are looked up first, with one job over the user column.
+    not given, they are looked up first, with a job over the user column.
     """
+    typed = cast_subscriptions(bronze)
     if crowded_users is None:
-        crowded_users = crowded_keys(bronze, "user_id")
-    latest = deduplicate_subscriptions(cast_subscriptions(bronze))
+        crowded_users = find_crowded(typed, "user_id", "start_date")
+    latest = deduplicate_subscriptions(typed)
     return flag_history(latest, crowded_users).select(
         "subscription_id",
         "user_id",
@@ -101,7 +102,7 @@ def checked_subscriptions(bronze: DataFrame, crowded_users: list | None = None)
     )
 
 
-def subscriptions_silver(bronze: DataFrame, crowded_users: list | None = None) -> DataFrame:
+def subscriptions_silver(bronze: DataFrame, crowded_users: Crowded | None = None) -> DataFrame:
     """Latest state per subscription, flagged.
 
     Rows without a start date still count as a previous row before they are
