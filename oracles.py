@@ -225,7 +225,7 @@ CTES = {
         FROM known_users GROUP BY user_id""",
     "ltv": f"""
         SELECT user_id, acquisition_channel, first_seen, last_seen,
-            date_diff('day', CAST(first_seen AS DATE), CAST(last_seen AS DATE))
+            CAST(CAST(last_seen AS DATE) - CAST(first_seen AS DATE) AS INTEGER)
                 AS customer_lifetime_days,
             purchase_count,
             coalesce(total_purchases, 0.0) AS total_purchases,

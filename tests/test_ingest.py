@@ -66,7 +66,7 @@ def test_marketing_files(spark, feed, tmp_path):
 
 def test_second_run_takes_new_files_only(spark, feed, tmp_path):
     def run():
-        stream = stream_events(spark, str(feed), max_files_per_trigger=1)
+        stream = stream_events(spark, str(feed), files_per_batch=1)
         return ingest(spark, tmp_path, stream, "events")
 
     assert run().count() == 7

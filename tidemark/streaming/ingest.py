@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from tidemark.functions.parsing import parse_json_line
 from tidemark.schemas import EVENT_FIELDS, MARKETING_FIELDS
@@ -13,6 +14,8 @@ from tidemark.sources.files import stamp
 
 EVENTS_GLOB = "events*.ndjson"
 MARKETING_GLOB = "marketing_spend*.csv"
+# A large backlog is taken in several batches, each committed on its own.
+FILES_PER_BATCH = 10_000
 
 
 def parse_event_lines(lines: DataFrame) -> DataFrame:
@@ -26,11 +29,11 @@ def stream_events(
     spark: SparkSession,
     src: str,
     ingest_ts: dt.datetime | None = None,
-    max_files_per_trigger: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
     glob: str = EVENTS_GLOB,
 ) -> DataFrame:
     """Stream of the event files in ``src``."""
-    lines = _files(spark, glob, max_files_per_trigger).text(src)
+    lines = _files(spark, glob, files_per_batch).text(src)
     return stamp(parse_event_lines(lines), ingest_ts)
 
 
@@ -38,19 +41,18 @@ def stream_marketing(
     spark: SparkSession,
     src: str,
     ingest_ts: dt.datetime | None = None,
-    max_files_per_trigger: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
     glob: str = MARKETING_GLOB,
 ) -> DataFrame:
     """Stream of the marketing spend files in ``src``."""
-    reader = _files(spark, glob, max_files_per_trigger)
+    reader = _files(spark, glob, files_per_batch)
     return stamp(reader.schema(MARKETING_FIELDS).option("header", True).csv(src), ingest_ts)
 
 
-def _files(spark: SparkSession, glob: str, max_files_per_trigger: int | None):
-    reader = spark.readStream.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader
+def _files(spark: SparkSession, glob: str, files_per_batch: int) -> DataStreamReader:
+    return spark.readStream.option("pathGlobFilter", glob).option(
+        "maxFilesPerTrigger", files_per_batch
+    )
 
 
 def append_new(stream: DataFrame, table: str, checkpoint: str) -> None:
