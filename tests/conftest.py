@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
+from tidemark.session import SETTINGS  # noqa: E402
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -16,10 +18,10 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tidemark-tests")
+        .config(map=SETTINGS)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()

@@ -7,6 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# For SparkSession.builder.config(map=SETTINGS). The last one stops PySpark from
+# recording the call site of every column, which takes longer than planning.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Make dates and weeks mean UTC dates and weeks.
