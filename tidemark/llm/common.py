@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``; ``bytes.split()`` without
@@ -13,6 +18,23 @@ from pyspark.sql import functions as F
 BLANK = r"[\x20\x09-\x0D]"
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the workers this package, unless the session has already done so.
+
+    Tasks import it; a cluster that has it installed doesn't need this.
+    """
+    context = spark.sparkContext
+    name = f"tidemark-{context.applicationId}.zip"
+    if not any(path.endswith(name) for path in context.listFiles):
+        package = Path(__file__).resolve().parent.parent
+        made = Path(tempfile.mkdtemp()) / name  # on the driver, which serves it to the workers
+        with zipfile.ZipFile(made, "w") as archive:
+            for source in sorted(package.rglob("*.py")):
+                archive.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(made))
+    return spark
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, whatever the optimizer inlines."""
     return F.transform(F.array(value), body)[0]
@@ -82,3 +104,74 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, kind) for c, kind in zip(columns, schema.types)], schema=schema
     )
+
+
+def map_arrays(df: DataFrame, make: Callable, schema: str, rows: int = 50_000) -> DataFrame:
+    """As ``map_rows``, for functions that return a tuple of equally long numpy arrays."""
+    arrow = _arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = make()
+        out: list[tuple] = []
+        n = 0
+        for batch in batches:
+            for values in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+                out.append(one(*values))
+                n += len(out[-1][0])
+                if n >= rows:
+                    yield _joined(out, arrow)
+                    out, n = [], 0
+        if out:
+            yield _joined(out, arrow)
+
+    return df.mapInArrow(run, schema)
+
+
+def _joined(parts: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = [np.concatenate(c) for c in zip(*parts)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c.astype(kind.to_pandas_dtype(), copy=False)) for c, kind in zip(columns, schema.types)],
+        schema=schema,
+    )
+
+
+def filter_rows(docs: DataFrame, make: Callable, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text passes ``make()``'s predicate.
+
+    Rows stay in their partitions with all their columns; a null text is empty.
+    """
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = make()
+        for batch in batches:
+            kept = [passes(text or "") for text in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+# ── hashing of words, the same in every process ──────────────────────────────
+
+_ODD = np.random.default_rng(20).integers(1, 1 << 63, size=4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread each value's bits over all of it."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def run_hashes(hashes: np.ndarray, length: int, family: int = 0) -> np.ndarray:
+    """A 64-bit hash of each run of ``length`` values; families are independent."""
+    n = len(hashes) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    total = np.zeros(n, np.uint64)
+    for k in range(length):
+        total += hashes[k : k + n] * _ODD[64 * family + k]
+    return mix(total)

@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import sentencepiece_codec
+from tidemark.llm import (
+    line_dedup,
+    quality_rules,
+    sentencepiece_codec,
+    sharding,
+    substring_dedup,
+)
+from tidemark.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,7 +22,12 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("n_words", "n_removed", "kept_sha256")
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), columns=columns)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +35,32 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_and_decode(_table(spark, sf_dir, "documents"), PIECES, columns)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_repeated_lines(
+        _table(spark, sf_dir, "documents"), lines_col="n_lines", removed_col="n_removed"
+    ).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *base, "base_failed", "kept")
+
+
+#: 16 shards of equal weight: two regions of two racks of four.
+TREE = sharding.even_tree(regions=2, racks=2, shards=4)
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(_table(spark, sf_dir, "documents"), TREE)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_line_dedup": op4_line_dedup,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_sharding": op8_sharding,
 }
 
 ORACLES: dict[str, str] = {}
