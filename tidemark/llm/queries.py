@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    decontamination,
     line_dedup,
     quality_rules,
     sentencepiece_codec,
@@ -30,6 +31,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), columns=columns)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontamination.find_leaks(docs, benchmark, columns)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("n_tokens", "ids_sha256", "decoded_sha256")
     return sentencepiece_codec.encode_and_decode(_table(spark, sf_dir, "documents"), PIECES, columns)
@@ -57,6 +64,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
