@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     decontamination,
     line_dedup,
+    minmax_dedup,
     quality_rules,
     sentencepiece_codec,
     sharding,
@@ -54,6 +55,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *base, "base_failed", "kept")
 
 
+def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 #: 16 shards of equal weight: two regions of two racks of four.
 TREE = sharding.even_tree(regions=2, racks=2, shards=4)
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_minmax_dedup": op7_minmax_dedup,
     "op8_sharding": op8_sharding,
 }
 
