@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,12 +28,8 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a
-    local session may fall back to a folder of this machine.
+    The cluster names its shared folder in ``spark.checkpoint.dir``; where that
+    is unset, the session's warehouse, which executors share as well, takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
