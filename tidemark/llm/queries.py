@@ -15,11 +15,13 @@ from tidemark.llm import (
     sentencepiece_codec,
     sharding,
     substring_dedup,
+    token_files,
 )
 from tidemark.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -49,6 +51,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_files.read_documents(*token_files.write_token_files(docs, BYTE_PAIRS, end_id=2))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"))
@@ -72,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_line_dedup": op4_line_dedup,
+    "op5_token_files": op5_token_files,
     "op6_quality_rules": op6_quality_rules,
     "op7_minmax_dedup": op7_minmax_dedup,
     "op8_sharding": op8_sharding,
