@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     decontamination,
+    html_extraction,
     line_dedup,
     minmax_dedup,
     quality_rules,
@@ -74,6 +75,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents"), TREE)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_minmax_dedup": op7_minmax_dedup,
     "op8_sharding": op8_sharding,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLES: dict[str, str] = {}
