@@ -17,6 +17,7 @@ from tidemark.llm import (
     sharding,
     substring_dedup,
     token_files,
+    toxicity,
 )
 from tidemark.llm.common import ship
 
@@ -75,6 +76,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents"), TREE)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_text(_table(spark, sf_dir, "pages"))
 
@@ -88,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_minmax_dedup": op7_minmax_dedup,
     "op8_sharding": op8_sharding,
+    "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
 }
 
