@@ -12,6 +12,7 @@ from tidemark.llm import (
     html_extraction,
     line_dedup,
     minmax_dedup,
+    oracles,
     quality_rules,
     sentencepiece_codec,
     sharding,
@@ -98,4 +99,12 @@ QUERIES: dict[str, Query] = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": oracles.SUBSTRING,
+    "op2_decontamination": oracles.LEAKS,
+    "op4_line_dedup": oracles.LINES,
+    "op6_quality_rules": oracles.quality(
+        quality_rules.RULES, quality_rules.STOP_WORDS, quality_rules.SYMBOLS
+    ),
+    "op7_minmax_dedup": oracles.NEAR,
+}
