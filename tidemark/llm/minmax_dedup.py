@@ -77,12 +77,13 @@ def _compare(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
         linked = 100 * common >= percent * (common + len(delta))
         yield leader, vertex, len(base), len(base) - common, linked, _signed(delta)
 
-    involved = texts.join(
-        pairs.select(F.col("leader").alias("rank")).union(pairs.select("vertex")).distinct(), "rank", "left_semi"
-    )
+    # A merge at every size: how many take part grows with the input, so they are never broadcast.
+    ids = pairs.select(F.col("leader").alias("rank")).union(pairs.select("vertex")).distinct()
+    involved = texts.join(ids.hint("merge"), "rank", "left_semi")
     return map_rows(
-        pairs.join(involved.withColumnsRenamed({"rank": "leader", "text": "leader_text"}), "leader")
-        .join(involved.withColumnRenamed("rank", "vertex"), "vertex")
+        pairs.hint("merge")
+        .join(involved.withColumnsRenamed({"rank": "leader", "text": "leader_text"}), "leader")
+        .join(involved.withColumnRenamed("rank", "vertex").hint("merge"), "vertex")
         .select("leader", "vertex", "leader_text", "text"),
         lambda: one,
         "leader long, vertex long, n_leader long, n_minus long, linked boolean, delta array<long>",
