@@ -23,6 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as fs
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,11 +36,13 @@ from tidemark.session import shared_folder
 SEQUENCE = 2048
 BATCH = 64
 #: Distinct words kept with their ids in a worker; then the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 1_200_000
 
-# A single space between two visible characters starts a piece in this vocabulary's rule of
-# splitting, whatever stands around it: pieces cut there are encoded on their own.
-_CUT = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
+# The vocabulary's own rule of splitting (a fixed value): parts never merge with each other.
+_SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""").findall
+# Texts of these scripts only are split here; for them all regex engines agree on what is a
+# letter or a space. The library splits any other text itself.
+_SETTLED = re.compile("[\t\n\r\x20-\x7e\xa0-\u024f\u0370-\u03ff\u0400-\u04ff\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*").fullmatch
 
 
 class Encoder:
@@ -56,19 +59,19 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.special(text):  # its name is one id wherever it stands
+        if not _SETTLED(text) or self.special(text):  # a special token's name is one id
             return self._whole(text)
-        first, *rest = _CUT.split(text)
-        out = list(map(self.words.get, rest))
+        parts = _SPLIT(text)
+        out = list(map(self.words.get, parts))
         if None in out:
-            missing = list({word for word, ids in zip(rest, out) if ids is None})
+            missing = list({part for part, ids in zip(parts, out) if ids is None})
             if len(self.words) + len(missing) > REMEMBERED:
                 self.words.clear()
-            found = self.library.encode_batch_fast([f" {w}" for w in missing], add_special_tokens=False)
-            new = {w: np.array(e.ids, self.dtype).tobytes() for w, e in zip(missing, found)}
+            found = self.library.encode_batch_fast(missing, add_special_tokens=False)
+            new = {part: np.array(e.ids, self.dtype).tobytes() for part, e in zip(missing, found)}
             self.words |= new
-            out = [ids if ids is not None else new[word] for word, ids in zip(rest, out)]
-        return self._whole(first) + b"".join(out)
+            out = [ids if ids is not None else new[part] for part, ids in zip(parts, out)]
+        return b"".join(out)
 
 
 @lru_cache(maxsize=1)
