@@ -191,7 +191,7 @@ def original_spans(text: str, hits: list[int]) -> list[int]:
     if not hits:
         return []
     raw = text.encode()
-    places = [m.span() for m in _WORD.finditer(raw)]
+    places = [m.span() for m in _WORD.finditer(raw.translate(_NORMAL))]  # bytes stay in place
     edges: list[int] = []
     for at, i in enumerate(hits):
         if at and hits[at - 1] == i - 1:
