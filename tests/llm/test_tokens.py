@@ -1,0 +1,151 @@
+"""Encoding, token files and sharding: the libraries' results, exact round trips, laws."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from tidemark.llm import sharding, token_files
+from tidemark.llm.sentencepiece_codec import Codec, encode_and_decode
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return Codec(PIECES)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return SentencePieceProcessor(model_file=PIECES)
+
+
+def test_encoding_and_decoding_as_the_library(codec, library):
+    rng = random.Random(1)
+    letters = "aabbee the in\n\t  ▁▁😀éß中文字 ́\x00<>s/0x1tionering　﻿"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["".join(rng.choices(codec.pieces[259:], k=8)).replace("▁", " ") for _ in range(1000)]
+    texts += ["a" * 5000, " " * 3000, "ab" * 3000 + " " * 77 + "x", "ing" * 2000]
+    for text in texts:
+        ids = library.encode(text)
+        assert codec.encode(text) == ids
+        assert codec.decode([*ids, 2]) == library.decode([*ids, 2])
+
+
+def test_decoding_any_ids_as_the_library(codec, library):
+    rng = random.Random(2)
+    for _ in range(2000):
+        ids = [rng.randint(0, 31999) if rng.random() < 0.5 else rng.randint(0, 260) for _ in range(8)]
+        assert codec.decode(ids) == library.decode(ids)
+
+
+def test_every_token_agrees_with_itself(codec):
+    """The theorem needs tokens that their own text is merged to; others are never chosen."""
+    rng = random.Random(3)
+    for piece in rng.sample(sorted(codec.id_of), 500):
+        assert codec.fits(-1, codec.id_of[piece]) == (codec.merged(piece) == [piece])
+
+
+def test_encoding_on_spark(awkward, empty, library):
+    rows = encode_and_decode(awkward, PIECES).collect()
+    texts = [(r.doc_id, r.text or "") for r in awkward.collect()]
+    expected = [(i, [*library.encode(t), 2]) for i, t in texts]
+    assert [(r.doc_id, r.token_ids) for r in rows] == expected
+    assert [r.decoded for r in rows] == [library.decode(ids) for _, ids in expected]
+    assert encode_and_decode(empty, PIECES).collect() == []
+
+
+def test_words_encoded_apart_as_the_library():
+    rng = random.Random(2)
+    one, library = token_files.Encoder(BYTE_PAIRS), Tokenizer.from_file(BYTE_PAIRS)
+    letters = "ab  \n\t\r'sré1 2中 \xa0\x1c\x85!?.​  tll"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(3000)]
+    for text in [*texts, "hi <|endoftext|> there", "", "don't  stop"]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(one.encode(text), one.dtype).tolist() == ids
+
+
+def test_token_files_round_trip(spark, docs, corpus):
+    folder, parts = token_files.write_token_files(docs, BYTE_PAIRS, 2)
+    library = Tokenizer.from_file(BYTE_PAIRS)
+    at, expected, stream = 0, [], []
+    for doc_id, text in sorted(corpus):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 2]
+        expected.append((doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        stream += ids
+        at += len(ids)
+    assert sorted(tuple(r) for r in token_files.read_documents(folder, parts).collect()) == expected
+    for row in parts.collect():
+        file, size = token_files.SequenceFile(folder, row.part), token_files.SEQUENCE
+        for i in range(-(-row.tokens // size)):
+            real = min(size, row.tokens - i * size)
+            first = row.start + i * size
+            assert file.sequence(i)[:real].tolist() == stream[first : first + real]
+            assert sum(file.mask(i).to_pylist()) == real
+            assert not file.sequence(i).flags.owndata  # a view, not a copy
+
+
+def test_token_files_of_awkward_rows(awkward, empty):
+    rows = token_files.read_documents(*token_files.write_token_files(awkward, BYTE_PAIRS, 2)).collect()
+    assert len(rows) == 16
+    ends = sorted((r.start, r.start + r.n_tokens) for r in rows)
+    assert all(a[1] == b[0] for a, b in zip(ends, ends[1:])) and ends[0][0] == 0
+    assert {r.n_tokens for r in rows if r.doc_id in (1, 2)} == {1}
+    assert token_files.read_documents(*token_files.write_token_files(empty, BYTE_PAIRS, 2)).collect() == []
+
+
+TREE = sharding.even_tree(2, 2, 4)
+
+
+def test_shards_are_gapless_and_right(docs, corpus):
+    rows = sharding.place(docs, TREE, chunks=4).collect()
+    texts = dict(corpus)
+    for r in rows:
+        raw = texts[r.doc_id].encode()
+        assert (r["size"], r.text_crc32) == (len(raw) + 1, zlib.crc32(raw))
+    for shard in range(16):
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert {r.grown_shard for r in rows if r.grown_shard != r.shard} <= {16}
+
+
+def test_growth_moves_only_into_the_new_shard(spark):
+    keys = spark.range(4000)
+    tree = TREE
+    for _ in range(3):
+        grown = sharding.grow(tree)
+        moved = keys.select(
+            sharding.descend(tree, keys.id).alias("a"), sharding.descend(grown, keys.id).alias("b")
+        ).collect()
+        new = len(tree.leaves())
+        assert {r.b for r in moved if r.a != r.b} == {new}
+        share = sum(r.b == new for r in moved) / 4000
+        assert abs(share - 1 / (new + 1)) < 0.02
+        tree = grown
+
+
+def test_weights_give_shares_and_confine_movement(spark):
+    leaf = lambda n, w, i: sharding.Node(n, w, (), i)
+    tree = lambda w: sharding.inner("", [sharding.inner("x", [leaf("x0", 1.0, 0), leaf("x1", w, 1)]), leaf("y", 2.0, 2)])
+    keys = spark.range(4000)
+    rows = keys.select(
+        sharding.descend(tree(1.0), keys.id).alias("a"), sharding.descend(tree(4.0), keys.id).alias("b")
+    ).collect()
+    assert abs(sum(r.a == 2 for r in rows) / 4000 - 0.5) < 0.03
+    assert abs(sum(r.b == 1 for r in rows) / 4000 - 4 / 7) < 0.03
+    assert all(r.b != 2 for r in rows if r.a != r.b)  # nothing moves out of the heavier region
+
+
+def test_shards_of_awkward_rows(spark, awkward, empty):
+    rows = sharding.place(awkward, TREE).collect()
+    assert len(rows) == 16 and len({(r.shard, r.slot) for r in rows}) == 16
+    assert {(r["size"], r.text_crc32) for r in rows if r.doc_id in (1, 2)} == {(1, 0)}
+    assert sharding.place(empty, TREE).collect() == []
+    same = spark.createDataFrame([(1, "x")] * 50, "doc_id long, text string")
+    assert sorted(r.slot for r in sharding.place(same, TREE).collect()) == list(range(50))
