@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -44,6 +44,8 @@ MENTIONS = 5
 DECAY = 0.2
 #: Distinct words kept with their inputs in a worker; then the memory starts anew.
 REMEMBERED = 300_000
+#: Words whose inputs are made at once.
+CHUNK = 5_000
 
 _WORDS = re.compile(r"\w+").findall
 
@@ -68,7 +70,7 @@ def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         inside = owner[: len(code)] == owner[n - 1 :]
         buckets.append((code[inside] % np.uint64(BUCKETS)).astype(np.int64))
         owners.append(owner[: len(code)][inside])
-    bucket, belongs = np.concatenate(buckets), np.concatenate(owners)
+    bucket, belongs = np.concatenate(buckets).astype(np.int32), np.concatenate(owners)
     order = np.argsort(belongs, kind="stable")
     return bucket[order], np.searchsorted(belongs[order], np.arange(len(words)))
 
@@ -180,43 +182,50 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
 
     Without documents of both labels every document gets the share as its score.
     """
-    documents = [words_of(t) for t in texts]
-    seen = Counter(w for words in documents for w in set(words))
-    net = Network(sorted(w for w, n in seen.items() if n >= MENTIONS), seed)
+    rng = np.random.default_rng(seed)
+    parts: list[list[str]] = []
+    owner: list[int] = []
+    for i, words in enumerate(map(words_of, texts)):
+        at = window_starts(len(words))
+        if len(at) > TRAINING_WINDOWS:
+            at = sorted(rng.choice(at, TRAINING_WINDOWS, replace=False))
+        parts += [words[s : s + WINDOW] for s in at]
+        owner += [i] * len(at)
+    mentions: dict[str, set[int]] = defaultdict(set)
+    for i, part in zip(owner, parts):
+        for w in part:
+            mentions[w].add(i)
+    distinct = sorted(mentions)
+    net = Network([w for w in distinct if len(mentions[w]) >= MENTIONS], seed)
+    del mentions
     share = min(max(share, 1e-3), 1 - 1e-3)
     prior = float(np.log(share / (1 - share)))
     if len(set(labels.tolist())) < 2:
         net.scale, net.shift = 0.0, prior
         return net
-    rng = np.random.default_rng(seed)
-    distinct = sorted(seen)
     number = {w: i for i, w in enumerate(distinct)}
     blank = len(distinct)
-    bucket, starts = gram_buckets(distinct)
+    grams = [gram_buckets(distinct[at : at + CHUNK]) for at in range(0, len(distinct), CHUNK)]
+    bucket = np.concatenate([g[0] for g in grams] or [np.zeros(0, np.int32)])
+    ends = np.cumsum([len(g[0]) for g in grams] or [0])
+    starts = np.concatenate([g[1] + end - len(g[0]) for g, end in zip(grams, ends)] or [np.zeros(0, np.int64)])
     counts = np.diff(np.append(starts, len(bucket)))
-    word_row = np.array([net.index.get(w, len(net.index)) for w in distinct])
-    windows, owner = [], []
-    for i, words in enumerate(documents):
-        ids = np.array([number[w] for w in words] or [blank])
-        at = window_starts(len(words))
-        for s in sorted(rng.choice(at, TRAINING_WINDOWS, replace=False)) if len(at) > TRAINING_WINDOWS else at:
-            part = ids[s : s + WINDOW]
-            windows.append(np.pad(part, (0, WINDOW - len(part)), constant_values=blank))
-            owner.append(i)
-    windows, owner = np.array(windows), np.array(owner)
-    firsts = np.searchsorted(owner, np.arange(len(documents)))
+    word_row = np.array([net.index.get(w, len(net.index)) for w in distinct], np.int64)
+    windows = np.array([[number[w] for w in part] + [blank] * (WINDOW - len(part)) for part in parts])
+    owner = np.array(owner)
+    firsts = np.searchsorted(owner, np.arange(len(texts)))
     weight = np.where(labels == 1, 1.0, np.sum(labels == 1) / max(1, np.sum(labels == 0))).astype(np.float32)
     moments: dict[str, tuple[np.ndarray, np.ndarray]] = {
         k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.weights.items()
     }
 
     def all_logits() -> np.ndarray:
-        x = np.vstack([net.inputs(distinct), np.zeros((1, INPUT), np.float32)])
-        gates = net.projected(x)
+        some = [net.inputs(distinct[at : at + CHUNK]) for at in range(0, len(distinct), CHUNK)]
+        gates = net.projected(np.vstack([*some, np.zeros((1, INPUT), np.float32)]))
         return np.concatenate(
             [
                 net.forward(gates[part.T], (part != blank).T)
-                for part in np.array_split(windows, max(1, len(windows) // 4096))
+                for part in np.array_split(windows, max(1, len(windows) // 1024))
             ]
         )
 
@@ -323,8 +332,8 @@ class Scorer:
                 more = np.zeros((max(first + len(new), 2 * len(self.gates)), 6 * HIDDEN), np.float32)
                 more[: len(self.gates)] = self.gates
                 self.gates = more
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
+            for at in range(0, len(new), CHUNK):
+                part = new[at : at + CHUNK]
                 self.gates[first + at : first + at + len(part)] = self.net.projected(self.net.inputs(part))
             self.row.update(zip(new, range(first, first + len(new))))
             rows = list(map(self.row.get, words))
