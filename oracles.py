@@ -171,8 +171,7 @@ CTES = {
         WHERE rn = 1
         WINDOW history AS (
             PARTITION BY user_id
-            ORDER BY start_date NULLS FIRST, substr(md5(subscription_id), 1, 3) NULLS FIRST,
-                subscription_id NULLS FIRST)""",
+            ORDER BY start_date NULLS FIRST, subscription_id NULLS FIRST)""",
     "subscriptions_silver": "SELECT * FROM subscriptions_checked WHERE start_date IS NOT NULL",
     "users_table": """
         SELECT c_custkey AS user_id,

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from tidemark import fixtures
 from tidemark.operators.events import events_silver
 from tidemark.operators.marketing import marketing_spend_silver
-from tidemark.operators.previous_row import Crowded
 from tidemark.operators.subscriptions import subscriptions_silver
 from tidemark.plans.acquisition import cac_by_channel, ltv_cac_ratio
 from tidemark.plans.activity import daily_active_users, weekly_cohort_retention
@@ -142,7 +141,7 @@ def test_results_do_not_depend_on_the_layout(spark, sf_dir):
         events = events_silver(arrange(fixtures.events_bronze(spark, sf_dir)))
         spend = marketing_spend_silver(arrange(fixtures.marketing_spend_bronze(spark, sf_dir)))
         subscriptions = subscriptions_silver(
-            arrange(fixtures.subscriptions_bronze(spark, sf_dir)), crowded_users=Crowded()
+            arrange(fixtures.subscriptions_bronze(spark, sf_dir))
         )
         ltv, cac = ltv_per_user(events), cac_by_channel(events, spend)
         return [

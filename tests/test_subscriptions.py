@@ -3,10 +3,11 @@ import random
 
 import pytest
 from frames import NOON, SUBSCRIPTIONS_BRONZE, by, frame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import subscriptions
-from tidemark.operators.previous_row import Crowded, find_crowded, with_previous
+from tidemark.operators.previous_row import with_previous
 
 
 def bronze_of(spark, *rows):
@@ -109,18 +110,8 @@ def test_inverted_dates_and_unknown_values_stay(spark):
     assert set(silver_of(spark, *rows)) == {"s1"}
 
 
-def test_find_crowded(spark):
-    day, other = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    rows = [(None, None)] * 6 + [(None, day)] * 3 + [("a", day)] * 4 + [("a", other)] * 3
-    df = spark.createDataFrame(rows + [("b", day)] * 2, "user_id string, start_date date")
-    found = find_crowded(df, "user_id", "start_date", min_rows=5)
-    assert found == Crowded([None, "a"], [(None, None)])
-    assert find_crowded(df, "user_id", "start_date", min_rows=9) == Crowded()
-    assert find_crowded(df, "user_id", "start_date") == Crowded()
-
-
 @pytest.mark.parametrize("seed", range(3))
-def test_crowded_users_get_the_same_flags(spark, seed):
+def test_histories_cut_by_day_get_the_flags_of_whole_ones(spark, seed):
     rng = random.Random(seed)
     days = [None] + [f"2024-01-{day:02d}" for day in range(1, 9)]
     rows = [
@@ -134,33 +125,33 @@ def test_crowded_users_get_the_same_flags(spark, seed):
         for number in range(300)
     ] + [{"subscription_id": None, "user_id": "u1"}]
     bronze = bronze_of(spark, *rows).repartition(3)
-    plain = subscriptions.checked_subscriptions(bronze, crowded_users=Crowded())
+    latest = subscriptions.deduplicate_subscriptions(subscriptions.cast_subscriptions(bronze))
+    whole = Window.partitionBy("user_id").orderBy(
+        F.asc_nulls_first("start_date"), F.asc_nulls_first("subscription_id")
+    )
+    columns = {"before_end": "end_date", "before_status": "status"}
+    plain = latest.withColumns({k: F.lag(v).over(whole) for k, v in columns.items()})
+    split = with_previous(latest, "user_id", "start_date", "subscription_id", columns)
+    assert split.columns == plain.columns
     expected = sorted(plain.collect(), key=str)
-    assert sum(row["is_overlapping"] for row in expected) > 20
-    busy = dt.date(2024, 1, 3)
-    for crowded in (
-        Crowded([None]),
-        Crowded(["u1"], [("u1", busy), ("u1", None)]),
-        Crowded([None, "u1", "u2"], [(None, None), (None, busy), ("u1", busy)]),
-        find_crowded(subscriptions.cast_subscriptions(bronze), "user_id", "start_date", 12),
-    ):
-        split = subscriptions.checked_subscriptions(bronze, crowded_users=crowded)
-        assert split.columns == plain.columns
-        assert sorted(split.collect(), key=str) == expected
+    assert sum(row["before_end"] is not None for row in expected) > 100
+    assert sorted(split.collect(), key=str) == expected
 
 
 def test_previous_row_crosses_empty_days(spark):
     rows = [("k", dt.date(2024, 1, 1), "a", 1), ("k", dt.date(2024, 3, 1), "b", None),
             ("k", dt.date(2024, 3, 2), "c", 3)]
     df = spark.createDataFrame(rows, "key string, day date, id string, value int")
-    for crowded in (Crowded(), Crowded(["k"])):
-        found = by(with_previous(df, "key", "day", "id", {"before": "value"}, crowded), "id")
-        assert [found[i]["before"] for i in "abc"] == [None, 1, None]
+    found = by(with_previous(df, "key", "day", "id", {"before": "value"}), "id")
+    assert [found[i]["before"] for i in "abc"] == [None, 1, None]
 
 
-def test_split_users_never_meet_in_one_task(spark):
-    bronze = bronze_of(spark, *[{"subscription_id": f"s{n}"} for n in range(50)])
-    split = subscriptions.checked_subscriptions(bronze, crowded_users=Crowded(["u1"]))
+def test_users_never_meet_in_one_task(spark):
+    days = [{"subscription_id": f"s{n}", "start_date": f"2024-01-{n % 9 + 1:02d}"} for n in range(50)]
+    bronze = bronze_of(spark, *days)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    split = subscriptions.checked_subscriptions(bronze)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs  # built without a job
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(user_id" not in plan
     assert split.filter(F.col("is_overlapping")).count() == 49

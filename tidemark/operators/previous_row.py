@@ -1,118 +1,42 @@
-"""Values of the previous row within a key, also for keys too large for one task."""
+"""Values of the previous row within a key, without gathering a key in one task."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CROWDED_ROWS = 1_000_000
-# At most this many keys, and days within them, are split. Any other then holds
-# less than a thousandth of all rows, or fewer than CROWDED_ROWS.
-MAX_CROWDED = 1000
-
-
-@dataclass(frozen=True)
-class Crowded:
-    """Keys to be split by day, and (key, day) pairs to be split further."""
-
-    keys: list = field(default_factory=list)
-    days: list[tuple] = field(default_factory=list)
-
-
-def find_crowded(
-    df: DataFrame, key: str, day: str, min_rows: int = CROWDED_ROWS
-) -> Crowded:
-    """Look up the keys (null included) with more than ``min_rows`` rows.
-
-    Runs one job over the key column and, only when it finds some, one over
-    their days; both bring back at most ``MAX_CROWDED`` values. The answer
-    steers how the work is split, never the result.
-    """
-    keys = [row[0] for row in _largest(df, [key], min_rows)]
-    if not keys:
-        return Crowded()
-    within = df.filter(_is_any(F.col(key), keys))
-    return Crowded(keys, [(row[0], row[1]) for row in _largest(within, [key, day], min_rows)])
-
-
-def _largest(df: DataFrame, columns: list[str], min_rows: int) -> list:
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
-    crowded = counted.filter(F.col("_rows") > min_rows)
-    return crowded.orderBy(F.desc("_rows")).limit(MAX_CROWDED).collect()
-
-
-def _is_any(column: Column, values: list) -> Column:
-    """Whether the column is one of the values, null being a value like others."""
-    known = [value for value in values if value is not None]
-    found = F.coalesce(column.isin(known), F.lit(False)) if known else F.lit(False)
-    return found | column.isNull() if None in values else found
-
 
 def with_previous(
-    df: DataFrame,
-    key: str,
-    day: str,
-    row_id: str,
-    previous: dict[str, str],
-    crowded: Crowded,
+    df: DataFrame, key: str, day: str, row_id: str, previous: dict[str, str]
 ) -> DataFrame:
     """Add, per row, columns of the row before it within ``key``.
 
-    Rows are ordered by ``day``, then by a hash of ``row_id``, then by
-    ``row_id``, nulls first; ``previous`` maps new names to source columns.
+    Rows are ordered by ``day``, then by ``row_id``, nulls first; ``previous`` maps
+    new names to source columns.
 
-    A plain ``lag`` sends all rows of a key to one task. The ordered rows of a
-    crowded key are therefore cut into chunks of one day, and those of a crowded
-    day into 4096 chunks by hash. ``lag`` runs within the chunk, and the first
-    row of a chunk gets its values from the last row of the chunk before, found
-    over one row per chunk.
+    A plain ``lag`` would send all rows of a key to one task. Here every key is cut
+    into its days: ``lag`` runs within the day, and the first row of a day gets its
+    values from the last row of the day before, found over one row per day. One task
+    thus holds at most a key's rows of one day, or a row for each day of a key.
     """
-    df = df.withColumn("_hash", F.substring(F.md5(F.col(row_id)), 1, 3))
-    order = [F.asc_nulls_first(c) for c in (day, "_hash", row_id)]
-    if not crowded.keys:
-        by_key = Window.partitionBy(key).orderBy(*order)
-        return df.withColumns(
-            {name: F.lag(source).over(by_key) for name, source in previous.items()}
-        ).drop("_hash")
-
     # Chunk columns are never null, so that the join below finds both sides
     # partitioned already. The stand-ins for null sort first, like null.
-    before_all = F.lit("0001-01-01").cast("date")
-    split_day = F.lit(False)
-    for hot_key in {hot_key for hot_key, _ in crowded.days}:
-        days = [hot_day for other, hot_day in crowded.days if other == hot_key]
-        split_day |= _is_any(F.col(key), [hot_key]) & _is_any(F.col(day), days)
-    df = df.withColumn("_crowded", _is_any(F.col(key), crowded.keys)).withColumns(
+    chunk = ["_key", "_day"]
+    df = df.withColumns(
         {
             "_key": F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")),
-            "_day": F.when(F.col("_crowded"), F.coalesce(day, before_all)).otherwise(before_all),
-            "_part": F.when(split_day, F.coalesce("_hash", F.lit(""))).otherwise(F.lit("")),
+            "_day": F.coalesce(F.col(day), F.lit("0001-01-01").cast("date")),
         }
     )
-    chunk = ["_key", "_day", "_part"]
-    in_chunk = Window.partitionBy(*chunk).orderBy(*order)
+    in_day = Window.partitionBy(*chunk).orderBy(F.asc_nulls_first(day), F.asc_nulls_first(row_id))
     rows = df.withColumns(
-        {"_first": F.row_number().over(in_chunk) == 1}
-        | {name: F.lag(source).over(in_chunk) for name, source in previous.items()}
-    )
-
-    latest = F.struct(
-        F.col(day).isNotNull(),
-        day,
-        F.col("_hash").isNotNull(),
-        "_hash",
-        F.col(row_id).isNotNull(),
-        row_id,
-    )
-    tails = (
-        df.filter("_crowded")
-        .groupBy(*chunk)
-        .agg(F.max_by(F.struct(*previous.values()), latest).alias("_tail"))
+        {"_first": F.row_number().over(in_day) == 1}
+        | {name: F.lag(source).over(in_day) for name, source in previous.items()}
     )
-    by_chunk = Window.partitionBy("_key").orderBy("_day", "_part")
-    carried = tails.select(*chunk, F.lag("_tail").over(by_chunk).alias("_carried"))
+    latest = F.struct(F.col(day).isNotNull(), day, F.col(row_id).isNotNull(), row_id)
+    tails = df.groupBy(*chunk).agg(F.max_by(F.struct(*previous.values()), latest).alias("_tail"))
+    by_day = Window.partitionBy("_key").orderBy("_day")
+    carried = tails.select(*chunk, F.lag("_tail").over(by_day).alias("_carried"))
     return (
         rows.join(carried, chunk, "left")
         .withColumns(
@@ -121,5 +45,5 @@ def with_previous(
                 for name, source in previous.items()
             }
         )
-        .drop("_crowded", "_first", "_carried", "_hash", *chunk)
+        .drop("_first", "_carried", *chunk)
     )

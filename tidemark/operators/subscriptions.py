@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.parsing import parse_date, parse_double
 from tidemark.operators.dedup import keep_first
-from tidemark.operators.previous_row import Crowded, find_crowded, with_previous
+from tidemark.operators.previous_row import with_previous
 from tidemark.operators.quality import DROP, Rule, drop_violations
 from tidemark.schemas import SUBSCRIPTION_PLANS, SUBSCRIPTION_STATUSES
 
@@ -56,7 +56,7 @@ def deduplicate_subscriptions(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def flag_history(subscriptions: DataFrame, crowded_users: Crowded) -> DataFrame:
+def flag_history(subscriptions: DataFrame) -> DataFrame:
     """Add ``is_overlapping`` and ``is_reactivation`` from the user's previous row."""
     rows = with_previous(
         subscriptions,
@@ -64,7 +64,6 @@ def flag_history(subscriptions: DataFrame, crowded_users: Crowded) -> DataFrame:
         day="start_date",
         row_id="subscription_id",
         previous={"_previous_end": "end_date", "_previous_status": "status"},
-        crowded=crowded_users,
     )
     overlapping = F.col("start_date") <= F.col("_previous_end")
     reactivated = (F.col("_previous_status") == "canceled") & (F.col("status") == "active")
@@ -76,17 +75,9 @@ def flag_history(subscriptions: DataFrame, crowded_users: Crowded) -> DataFrame:
     )
 
 
-def checked_subscriptions(bronze: DataFrame, crowded_users: Crowded | None = None) -> DataFrame:
-    """The subscriptions table before the drop rule, for counting violations.
-
-    ``crowded_users`` names users with too many rows for one task. When it is
-    not given, they are looked up first, with a job over the user column.
-    """
-    typed = cast_subscriptions(bronze)
-    if crowded_users is None:
-        crowded_users = find_crowded(typed, "user_id", "start_date")
-    latest = deduplicate_subscriptions(typed)
-    return flag_history(latest, crowded_users).select(
+def checked_subscriptions(bronze: DataFrame) -> DataFrame:
+    """The subscriptions table before the drop rule, for counting violations."""
+    return flag_history(deduplicate_subscriptions(cast_subscriptions(bronze))).select(
         "subscription_id",
         "user_id",
         "plan_id",
@@ -102,10 +93,10 @@ def checked_subscriptions(bronze: DataFrame, crowded_users: Crowded | None = Non
     )
 
 
-def subscriptions_silver(bronze: DataFrame, crowded_users: Crowded | None = None) -> DataFrame:
+def subscriptions_silver(bronze: DataFrame) -> DataFrame:
     """Latest state per subscription, flagged.
 
     Rows without a start date still count as a previous row before they are
     dropped.
     """
-    return drop_violations(checked_subscriptions(bronze, crowded_users), SUBSCRIPTION_RULES)
+    return drop_violations(checked_subscriptions(bronze), SUBSCRIPTION_RULES)
