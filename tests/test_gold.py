@@ -294,13 +294,20 @@ def test_money_sums_are_exact(spark):
 
 
 def test_mrr_with_prices_that_are_no_prices(spark):
+    """Each shows on its day, as a sum of the day's prices would, and leaves no trace."""
+    inf, nan = float("inf"), float("nan")
+    odd = {2: [1e20], 4: [nan], 6: [inf], 8: [-inf, 5.0], 10: [inf, -inf], 12: [1e300, 1e300], 14: [1e308]}
     rows = [{"price": 10.5, "start_date": jan(1)}] + [
-        {"price": price, "start_date": jan(2), "end_date": jan(2)}
-        for price in (1e20, float("nan"), float("inf"), 1e300)
+        {"price": price, "start_date": jan(day), "end_date": jan(day)}
+        for day, prices in odd.items()
+        for price in prices
     ]
-    found = mrr_of(subscriptions_silver(spark, *rows), 1, 3)
-    assert [found[day][0] for day in (1, 2, 3)] == [10.5, 1e20, 10.5]
-    assert [found[day][1] for day in (1, 2, 3)] == [1, 5, 1]
+    found = mrr_of(subscriptions_silver(spark, *rows), 1, 15)
+    shown = {2: 1e20, 4: nan, 6: inf, 8: -inf, 10: nan, 12: 2e300, 14: 1e308}
+    for day in range(1, 16):
+        expected = shown.get(day, 10.5)
+        assert found[day][0] == pytest.approx(expected, rel=1e-12, nan_ok=True), day
+        assert found[day][1] == 1 + len(odd.get(day, []))
 
 
 def test_empty_inputs(spark):

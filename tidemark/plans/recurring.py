@@ -13,6 +13,8 @@ from tidemark.sources.tables import date_spine
 SPINE_START = dt.date(2020, 1, 1)
 # Prices of a billion and more, which no bigint of millionths should hold.
 LARGE = "decimal(38,6)"
+# Prices that no such decimal holds are added as doubles of this unit, which cannot overflow.
+HUGE_UNIT = 1e20
 
 
 def mrr_daily(
@@ -27,8 +29,9 @@ def mrr_daily(
     price on its first day and takes it back on the day after its last; running
     sums over the days give the totals. The work is linear in subscriptions, and
     only day totals are gathered in one place. Prices are summed as whole millionths,
-    so that what was added is taken back exactly; a price that is not finite, or of
-    more than 32 digits, counts as none.
+    so that what was added is taken back exactly. Prices that are infinite or no number, or
+    have more than 32 digits, are counted apart: a day shows them while they are active, as a
+    sum of its prices would, and the day after is exact again.
 
     Users may hold overlapping subscriptions. Per user and first day only the
     longest reach matters, so rows are first combined to that; each then adds
@@ -57,11 +60,20 @@ def mrr_daily(
     price, sign = F.col("price"), F.col("edge.sign")
     money = F.when(is_ordinary(price), in_units(price))
     large_money = F.when(~is_ordinary(price), price.try_cast(LARGE))
+    infinity = F.lit(float("inf"))
+    kinds = {
+        "not_a_number": F.isnan(price),
+        "plus_infinite": price == infinity,
+        "minus_infinite": price == -infinity,
+        "huge": ~is_ordinary(price) & price.try_cast(LARGE).isNull() & ~F.isnan(price) & (F.abs(price) < infinity),
+    }
     by_subscription = active.select("price", "subscription_id", edges.alias("edge")).select(
         "edge.date",
         (money * sign).alias("money"),
         (large_money * sign).alias("large_money"),
-        F.when(money.isNotNull() | large_money.isNotNull(), sign).otherwise(0).alias("priced"),
+        F.when(kinds["huge"], price / HUGE_UNIT * sign).alias("huge_money"),
+        F.when(price.isNotNull(), sign).otherwise(0).alias("priced"),
+        *[F.when(is_kind, sign).otherwise(0).alias(name) for name, is_kind in kinds.items()],
         F.when(F.col("subscription_id").isNotNull(), sign).otherwise(0).alias("subscriptions"),
         F.lit(0).alias("users"),
     )
@@ -79,12 +91,11 @@ def mrr_daily(
     ).filter(F.col("first") <= F.col("last"))
     by_user = new_days.select(edges.alias("edge")).select(
         "edge.date",
-        F.lit(0).alias("priced"),
-        F.lit(0).alias("subscriptions"),
+        *[F.lit(0).alias(name) for name in ("priced", *kinds, "subscriptions")],
         sign.alias("users"),
     )
 
-    counts = ["priced", "subscriptions", "users"]
+    counts = ["priced", *kinds, "subscriptions", "users"]
     spine = date_spine(spark, start, as_of).select(
         F.col("spine_date").alias("date"),
         *[F.lit(0).alias(name) for name in counts],
@@ -96,6 +107,7 @@ def mrr_daily(
         .agg(
             sum_units(F.col("money")).alias("money"),
             F.sum("large_money").alias("large_money"),
+            F.sum("huge_money").alias("huge_money"),
             *[F.sum(name).alias(name) for name in counts],
         )
     )
@@ -104,15 +116,26 @@ def mrr_daily(
     total = F.coalesce(from_units(F.col("money")), F.lit(0.0)) + F.coalesce(
         F.col("large_money").cast("double"), F.lit(0.0)
     )
+    total += F.when(F.col("huge") > 0, F.col("huge_money") * HUGE_UNIT).otherwise(0.0)
+    no_number = (F.col("not_a_number") > 0) | (
+        (F.col("plus_infinite") > 0) & (F.col("minus_infinite") > 0)
+    )
+    shown = (
+        F.when(no_number, F.lit(float("nan")))
+        .when(F.col("plus_infinite") > 0, infinity)
+        .when(F.col("minus_infinite") > 0, -infinity)
+        .otherwise(total)
+    )
+    summed = ("money", "large_money", "huge_money", *counts)
     return (
         days.select(
             "date",
-            *[F.sum(c).over(running).alias(c) for c in ("money", "large_money", *counts)],
+            *[F.sum(c).over(running).alias(c) for c in summed],
         )
         .filter(F.col("date") <= high)
         .select(
             "date",
-            F.when(F.col("priced") > 0, total).alias("mrr"),
+            F.when(F.col("priced") > 0, shown).alias("mrr"),
             F.col("subscriptions").alias("active_subscriptions"),
             F.col("users").alias("subscribed_users"),
         )
