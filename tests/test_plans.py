@@ -46,19 +46,6 @@ def columns_read(plan):
             2,
         ),
         (daily_revenue_net, {"event_type", "event_date", "amount"}, 1),
-        (
-            ltv_per_user,
-            {
-                "event_id",
-                "user_id",
-                "_user_id_missing",
-                "event_type",
-                "_timestamp_utc",
-                "amount",
-                "acquisition_channel",
-            },
-            1,
-        ),
     ],
 )
 def test_one_scan_of_the_needed_columns(events, table, columns, shuffles):
@@ -68,6 +55,16 @@ def test_one_scan_of_the_needed_columns(events, table, columns, shuffles):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
 
 
+def test_lifetime_value_sorts_signups_only(events):
+    plan = plan_of(ltv_per_user(events))
+    every, signups = sorted(columns_read(plan), key=lambda c: "acquisition_channel" in c)
+    assert every == {"user_id", "_user_id_missing", "event_type", "_timestamp_utc", "amount"}
+    assert "acquisition_channel" in signups and "amount" not in signups
+    assert "EqualTo(event_type,signup)" in plan
+    sorting = re.findall(r"\(\d+\) SortAggregate\n(.*?)\n\n", plan, re.DOTALL)
+    assert sorting and all("min_by" in text and "amount" not in text for text in sorting)
+
+
 def test_event_type_reaches_the_scan(events):
     assert "EqualTo(event_type,purchase), GreaterThan(amount,0.0)" in plan_of(
         daily_revenue_gross(events)

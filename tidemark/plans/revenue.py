@@ -57,28 +57,31 @@ def daily_revenue_net(events: DataFrame) -> DataFrame:
 def ltv_per_user(events: DataFrame) -> DataFrame:
     """First and last sight, channel, purchases, refunds and value of each user.
 
-    One pass and one shuffle. The channel is that of the earliest signup naming
-    one (unparsed times last, then event id). ``purchase_count`` is null, not
-    zero, for users who never bought.
+    The channel is that of the earliest signup naming one (unparsed times last, then
+    event id). ``purchase_count`` is null, not zero, for users who never bought.
+
+    A text can't live in a hash aggregate, so the channel is found apart, over the few
+    columns of signups, and every event passes through hash aggregates only. Both sides are
+    then hashed by user already, and one row each.
     """
+    known = events.filter(~F.col("_user_id_missing"))
     sale, refund = F.when(is_sale(), F.col("amount")), F.when(is_refund(), F.abs("amount"))
-    channel = F.when(F.col("event_type") == "signup", F.col("acquisition_channel"))
-    # A null ordering value is skipped by min_by, which leaves out other rows.
-    earliest = F.when(
-        channel.isNotNull(),
-        F.struct(F.col("_timestamp_utc").isNull(), "_timestamp_utc", "event_id"),
+    earliest = F.struct(F.col("_timestamp_utc").isNull(), "_timestamp_utc", "event_id")
+    channels = (
+        known.filter((F.col("event_type") == "signup") & F.col("acquisition_channel").isNotNull())
+        .groupBy("user_id")
+        .agg(F.min_by("acquisition_channel", earliest).alias("acquisition_channel"))
     )
     return (
-        events.filter(~F.col("_user_id_missing"))
-        .groupBy("user_id")
+        known.groupBy("user_id")
         .agg(
-            F.min_by(channel, earliest).alias("acquisition_channel"),
             F.min("_timestamp_utc").alias("first_seen"),
             F.max("_timestamp_utc").alias("last_seen"),
             F.nullif(F.count_if(is_sale()), F.lit(0)).alias("purchase_count"),
             F.coalesce(money_sum(sale), F.lit(0.0)).alias("total_purchases"),
             F.coalesce(money_sum(refund), F.lit(0.0)).alias("total_refunds"),
         )
+        .join(channels, "user_id", "left")
         .select(
             "user_id",
             "acquisition_channel",
