@@ -153,6 +153,21 @@ def test_network_learns_words_and_beginnings():
     assert np.mean((toxicity.Scorer(net).scores(texts) >= 0.5) == labels) > 0.95
 
 
+def test_training_reads_whole_texts():
+    texts, labels = marked(120, 1)
+    filler, _ = marked(40, 3)
+    long = []
+    for i, text in enumerate(texts):
+        words = " ".join(filler[(i + k) % 40] for k in range(30)).replace("scum", "er").replace("zqarg", "an").split()
+        at = len(words) * (i % 7) // 7
+        long.append(" ".join([*words[:at], text, *words[at:], f"ending{i % 8}"]))
+    net = toxicity.fit(long, labels, share=1 / 3)
+    # Each of the last words stands in 15 texts: all count, in whatever window.
+    assert {f"ending{i}" for i in range(8)} <= set(net.index)
+    # Scale and shift are fitted to what scoring sees, so scores average to the share.
+    assert abs(np.mean(toxicity.Scorer(net).scores(long)) - 1 / 3) < 0.03
+
+
 def test_gradients_are_right():
     net = toxicity.Network(["a"], seed=1)
     net.weights = {k: v.astype(np.float64) for k, v in net.weights.items()}

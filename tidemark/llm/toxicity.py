@@ -5,8 +5,8 @@ the mean of learned vectors of its character n-grams, so unseen words have input
 Windows of ``WINDOW`` words, each overlapping the next, pass through a recurrent layer in
 both directions; attention weighs its states into one vector, which a linear unit scores.
 A document's score is that of its most toxic window, calibrated to the share of toxic
-documents. Training follows it: in each epoch the windows that score highest in a document
-learn its label.
+documents. Training follows it: each epoch scores all windows of all sampled documents, and
+those that score highest in a document learn its label.
 
 The network is trained in numpy on the driver, on a bounded sample of labelled documents
 (``TRAINING_DOCS`` of each label, in the order of a hash of their ids). Its weights, about
@@ -34,9 +34,10 @@ INPUT = 16
 ATTENTION = 8
 BUCKETS = 1 << 14
 GRAMS = (3, 4, 5)
-#: Most labelled documents of each label in the training sample, and windows taken of one.
+#: Most labelled documents of each label in the training sample; each counts with all its words.
 TRAINING_DOCS = 1500
-TRAINING_WINDOWS = 16
+#: Windows scored at once in training.
+SCANNED = 2048
 EPOCHS = 10
 #: Training documents that must hold a word for it to have a vector of its own.
 MENTIONS = 5
@@ -183,27 +184,21 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
     Without documents of both labels every document gets the share as its score.
     """
     rng = np.random.default_rng(seed)
-    parts: list[list[str]] = []
-    owner: list[int] = []
-    for i, words in enumerate(map(words_of, texts)):
-        at = window_starts(len(words))
-        if len(at) > TRAINING_WINDOWS:
-            at = sorted(rng.choice(at, TRAINING_WINDOWS, replace=False))
-        parts += [words[s : s + WINDOW] for s in at]
-        owner += [i] * len(at)
-    mentions: dict[str, set[int]] = defaultdict(set)
-    for i, part in zip(owner, parts):
-        for w in part:
-            mentions[w].add(i)
-    distinct = sorted(mentions)
-    net = Network([w for w in distinct if len(mentions[w]) >= MENTIONS], seed)
-    del mentions
+    number: dict[str, int] = {}
+    numbered = []  # each text's words by number: 4 bytes a word, whatever the length
+    for words in map(words_of, texts):
+        numbered.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+    distinct = list(number)
+    mentions = np.zeros(len(distinct), np.int64)
+    for ids in numbered:
+        mentions[np.unique(ids)] += 1
+    net = Network([w for w, n in zip(distinct, mentions.tolist()) if n >= MENTIONS], seed)
+    del number, mentions
     share = min(max(share, 1e-3), 1 - 1e-3)
     prior = float(np.log(share / (1 - share)))
     if len(set(labels.tolist())) < 2:
         net.scale, net.shift = 0.0, prior
         return net
-    number = {w: i for i, w in enumerate(distinct)}
     blank = len(distinct)
     grams = [gram_buckets(distinct[at : at + CHUNK]) for at in range(0, len(distinct), CHUNK)]
     bucket = np.concatenate([g[0] for g in grams] or [np.zeros(0, np.int32)])
@@ -211,23 +206,48 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
     starts = np.concatenate([g[1] + end - len(g[0]) for g, end in zip(grams, ends)] or [np.zeros(0, np.int64)])
     counts = np.diff(np.append(starts, len(bucket)))
     word_row = np.array([net.index.get(w, len(net.index)) for w in distinct], np.int64)
-    windows = np.array([[number[w] for w in part] + [blank] * (WINDOW - len(part)) for part in parts])
-    owner = np.array(owner)
-    firsts = np.searchsorted(owner, np.arange(len(texts)))
+    begins = [np.array(window_starts(len(ids))) for ids in numbered]
+    amount = np.array([len(at) for at in begins], np.int64)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), amount)
+    firsts = np.cumsum(amount) - amount
+    lengths = np.array([len(ids) for ids in numbered], np.int64)
+    begins = np.concatenate(begins) + np.repeat(np.cumsum(lengths) - lengths, amount)
+    present_words = np.minimum(lengths, WINDOW).astype(np.int32)[owner]
+    stream = np.concatenate([*numbered, np.full(WINDOW, blank, np.int32)])
+    del numbered
+
+    def windows_at(part: np.ndarray) -> np.ndarray:
+        """Numbers of the words in the windows (step, window), blank behind a text's end."""
+        step = np.arange(WINDOW)[:, None]
+        return np.where(step < present_words[part], stream[begins[part] + step], blank)
+
+    def inputs_of(used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs of the words, then of a blank; their n-grams, the words these are of, and how many each has."""
+        sizes = counts[used]
+        begin = np.cumsum(sizes) - sizes
+        of = np.repeat(np.arange(len(used)), sizes)
+        flat = bucket[np.arange(sizes.sum()) - begin[of] + starts[used][of]]
+        x = np.zeros((len(used) + 1, INPUT), np.float32)
+        if len(used):
+            x[:-1] = np.add.reduceat(net.weights["grams"][flat], begin, axis=0) / sizes[:, None]
+            x[:-1] += net.weights["words"][word_row[used]]
+        return x, flat, of, sizes
+
     weight = np.where(labels == 1, 1.0, np.sum(labels == 1) / max(1, np.sum(labels == 0))).astype(np.float32)
     moments: dict[str, tuple[np.ndarray, np.ndarray]] = {
         k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.weights.items()
     }
 
     def all_logits() -> np.ndarray:
-        some = [net.inputs(distinct[at : at + CHUNK]) for at in range(0, len(distinct), CHUNK)]
-        gates = net.projected(np.vstack([*some, np.zeros((1, INPUT), np.float32)]))
-        return np.concatenate(
-            [
-                net.forward(gates[part.T], (part != blank).T)
-                for part in np.array_split(windows, max(1, len(windows) // 1024))
-            ]
-        )
+        logits = np.empty(len(owner), np.float32)
+        place = np.empty(blank + 1, np.int32)
+        for at in range(0, len(owner), SCANNED):
+            ids = windows_at(np.arange(at, min(at + SCANNED, len(owner))))
+            used = np.unique(ids[ids != blank])
+            place[used], place[blank] = np.arange(len(used)), len(used)
+            gates = net.projected(inputs_of(used)[0])
+            logits[at : at + SCANNED] = net.forward(gates[place[ids]], ids != blank)
+        return logits
 
     steps = 0
     for epoch in range(epochs):
@@ -238,18 +258,12 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
         chosen = np.concatenate([top, order[firsts[has_second] + 1]]) if epoch < epochs // 2 else top
         rng.shuffle(chosen)
         for part in np.array_split(chosen, max(1, len(chosen) // 64)):
-            ids, present = windows[part].T, (windows[part] != blank).T
-            used = np.unique(ids[ids != blank])
+            ids = windows_at(part)
+            present = ids != blank
+            used = np.unique(ids[present])
             place = np.full(blank + 1, len(used))
             place[used] = np.arange(len(used))
-            sizes = counts[used]
-            begin = np.cumsum(sizes) - sizes
-            of = np.repeat(np.arange(len(used)), sizes)
-            flat = bucket[np.arange(sizes.sum()) - begin[of] + starts[used][of]]
-            x = np.zeros((len(used) + 1, INPUT), np.float32)
-            if len(used):
-                x[:-1] = np.add.reduceat(net.weights["grams"][flat], begin, axis=0) / sizes[:, None]
-                x[:-1] += net.weights["words"][word_row[used]]
+            x, flat, of, sizes = inputs_of(used)
             keep: dict = {}
             logit = net.forward(net.projected(x)[place[ids]], present, keep)
             truth = labels[owner[part]]
