@@ -126,6 +126,16 @@ def test_main_text_of_pages():
     assert main_text("</p></div><p>stray") == "stray"
 
 
+def test_cut_elements_end_as_others_do():
+    assert main_text('<article><p class="ad">Buy<p>First<p>Second</article>') == "First Second"
+    assert main_text("<article><div><form>Sign</div><p>Rest</article>") == "Rest"
+    assert main_text("<article><div><aside>Side</div><p>Rest</article>") == "Rest"
+    assert main_text("<article><div><ul><li class=share>Share<li>Kept</ul></div><p>Rest</article>") == "Kept Rest"
+    assert main_text("<head><title>T</title><body><p>Text</p>") == "Text"
+    links = "".join(f"<li><a href={i}>Source {i}</a>" for i in range(4))
+    assert main_text(f"<article><p>As shown.</p><ul>{links}</ul></article>") == "As shown. Source 0 Source 1 Source 2 Source 3"
+
+
 def test_html_of_awkward_rows(spark):
     rows = [(1, "u", None, 5), (1, "u", None, 5), (None, None, "<p>t", 5), (3, "v", "", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")

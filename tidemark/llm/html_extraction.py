@@ -4,7 +4,8 @@ Each paragraph earns points for length and commas and passes them to its ancesto
 full to the parent and ever less above. A container's points are discounted by its link
 density; the best container is the article, and siblings that score alike, or are
 paragraphs of running text, are kept with it. Elements that are no article by tag, role
-or name (menus, sidebars, notices, adverts, forms, comments) are cut off before.
+or name (menus, sidebars, notices, adverts, forms, comments) are left out before; they end
+where any element ends.
 """
 
 from __future__ import annotations
@@ -32,12 +33,16 @@ INLINE = frozenset(
 )
 PARAGRAPH = frozenset("p pre blockquote li dd td".split())
 CONTAINER = frozenset("article main section div body td blockquote".split())
+#: Elements in the head; any other ends it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements past which an item ends no other.
+_BOUNDS = "article main section nav header footer aside form blockquote table td th button object template noscript"
 #: A start tag of the key ends an open element of the set, up to an element that bounds it.
 ENDS = {
-    "li": ("li", "ul ol menu"),
-    "dt": ("dt dd", "dl"),
-    "dd": ("dt dd", "dl"),
+    "li": ("li", f"ul ol menu {_BOUNDS}"),
+    "dt": ("dt dd", f"dl {_BOUNDS}"),
+    "dd": ("dt dd", f"dl {_BOUNDS}"),
     "tr": ("tr td th", "table"),
     "td": ("td th", "tr table"),
     "th": ("td th", "tr table"),
@@ -69,12 +74,13 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 class Node:
     """An element; ``parts`` holds its texts and elements in page order."""
 
-    __slots__ = ("tag", "name", "parent", "parts", "points", "chars", "linked", "links", "inside")
+    __slots__ = ("tag", "name", "parent", "parts", "points", "chars", "linked", "links", "inside", "cut")
 
     def __init__(self, tag: str, name: str, parent: Node | None) -> None:
         self.tag, self.name, self.parent = tag, name, parent
         self.parts: list[Node | str] = []
         self.inside: bool = tag in ("article", "main") or parent is not None and parent.inside
+        self.cut = False
         self.points = 0.0
         self.chars = self.linked = self.links = 0
 
@@ -97,31 +103,25 @@ def _attributes(text: str) -> tuple[str, bool]:
 
 
 def parse(page: str) -> Node:
-    """The page's tree, without what is no article by tag, role or name."""
+    """The page's tree; what is no article by tag or role is marked as cut, with all below it."""
     root = Node("body", "", None)
     here, at = root, 0
-    skipping: list[str] = []  # open elements from the first that is cut off
     while True:
         match = _TOKEN.search(page, at)
         text = page[at : match.start() if match else len(page)]
-        if text and not skipping:
-            here.parts.append(html.unescape(text))
+        if text:
+            if here.tag == "head" and here.parent and text.strip():
+                here = here.parent
+            if not here.cut:
+                here.parts.append(html.unescape(text))
         if not match:
             return root
         at = match.end()
         closing, tag, attributes = match[1], (match[2] or "").lower(), match[3] or ""
+        if here.tag == "head" and here.parent and tag and not closing and tag not in IN_HEAD:
+            here = here.parent  # its end tag is optional
         if not tag or tag in ("html", "body"):
             continue
-        if skipping:
-            if closing:
-                if tag in skipping:
-                    while skipping.pop() != tag:
-                        pass
-            elif tag in RAW:
-                at = _after_raw(page, tag, at)
-            elif tag not in VOID and tag not in ("p", "li", "option", "td", "tr", "th", "dt", "dd"):
-                skipping.append(tag)
-            continue
         if closing:
             node = here
             while node.parent and node.tag != tag:
@@ -135,19 +135,24 @@ def parse(page: str) -> Node:
             if tag in ("br", "hr"):
                 here.parts.append(" ")
             continue
-        name, away = _attributes(attributes) if attributes else ("", False)
-        away |= tag in NEVER or tag == "header" and not here.inside
-        away |= tag not in ("article", "main") and tag not in HEADING and bool(name) and bool(UNLIKELY.search(name))
-        if away:
-            here.parts.append(" " if tag in INLINE else Node("cut", "", here))
-            if tag in RAW:
-                at = _after_raw(page, tag, at)
-            elif not attributes.endswith("/") or tag != "svg":
-                skipping.append(tag)
-            continue
+        name, away = _attributes(attributes) if attributes and not here.cut else ("", False)
         child = Node(tag, name, here)
+        child.cut = here.cut or away or tag in NEVER or tag == "header" and not here.inside
         here.parts.append(child)
-        here = child
+        if tag in RAW:
+            child.cut = True
+            at = _after_raw(page, tag, at)
+        elif not attributes.endswith("/") or tag != "svg":
+            here = child
+
+
+def _cut_by_name(order: list[Node]) -> bool:
+    """Mark what is no article by name; whether anything was marked."""
+    found = False
+    for node in order:
+        if node.name and node.tag not in ("article", "main") and node.tag not in HEADING and UNLIKELY.search(node.name):
+            node.cut = found = True
+    return found
 
 
 def _after_raw(page: str, tag: str, at: int) -> int:
@@ -174,14 +179,16 @@ def _measure(root: Node) -> list[Node]:
     while stack:
         node = stack.pop()
         order.append(node)
-        stack += [p for p in node.parts if isinstance(p, Node)]
+        stack += [p for p in node.parts if isinstance(p, Node) and not p.cut]
     order.reverse()
     for node in order:
+        node.chars = node.linked = node.links = 0
         for part in node.parts:
             if isinstance(part, Node):
-                node.chars += part.chars
-                node.linked += part.linked
-                node.links += part.links
+                if not part.cut:
+                    node.chars += part.chars
+                    node.linked += part.linked
+                    node.links += part.links
             else:
                 node.chars += len("".join(part.split()))
         if node.tag == "a":
@@ -197,7 +204,7 @@ def _own_text(node: Node) -> str:
         if isinstance(part, str):
             out.append(part)
         elif part.tag in INLINE:
-            stack += reversed(part.parts)
+            stack += [" "] if part.cut else reversed(part.parts)
     return " ".join("".join(out).split())
 
 
@@ -227,6 +234,8 @@ def main_text(page: str) -> str:
     """The article's blocks in page order, joined by one space."""
     root = parse(page)
     order = _measure(root)
+    if _cut_by_name(order):
+        order = _measure(root)
     _score(order)
     candidates = [n for n in order if n.tag in CONTAINER and n.points > 0]
     if not candidates:
@@ -235,7 +244,7 @@ def main_text(page: str) -> str:
     chosen = [best]
     if best.parent:
         enough = max(2.0, best.points * 0.2)
-        chosen = [n for n in best.parent.parts if isinstance(n, Node) and (n is best or _belongs(n, best, enough))]
+        chosen = [n for n in best.parent.parts if isinstance(n, Node) and not n.cut and (n is best or _belongs(n, best, enough))]
     return " ".join(_blocks(chosen))
 
 
@@ -256,13 +265,13 @@ def _blocks(nodes: list[Node]) -> Iterator[str]:
         if isinstance(part, str):
             run.append(part)
         elif part is not None and part.tag in INLINE:
-            stack += reversed(part.parts)
+            stack += [" "] if part.cut else reversed(part.parts)
         else:
             block = " ".join("".join(run).split())
             run = []
             if block:
                 yield block
-            if part is not None and not (part.links >= 3 and part.link_density() > 0.7):
+            if part is not None and not part.cut:
                 stack += [None, *reversed(part.parts)]
 
 
