@@ -126,6 +126,23 @@ def test_main_text_of_pages():
     assert main_text("</p></div><p>stray") == "stray"
 
 
+def test_state_in_a_name_cuts_no_article():
+    body = "<p>First, of the article, as it is.<p>Second, with more, and more.</p>"
+    for attributes in (
+        'class="content with-sidebar"',
+        'id="content" class="comments-open"',
+        'class="post type-post tag-politics"',
+        'class="entry has-header"',
+    ):
+        page = f'<div {attributes}>{body}</div><div class="sidebar">Side, too</div>'
+        assert main_text(page) == "First, of the article, as it is. Second, with more, and more.", attributes
+
+
+    long = " ".join(["a word, and more"] * 60)
+    assert main_text(f'<div class="left-sidebar"><p>{long}</p><div class="sidebar">Side</div></div>') == long
+    assert main_text('<p>Short.</p><div class="ad">An advert, longer than the text.</div>') == "Short."
+
+
 def test_cut_elements_end_as_others_do():
     assert main_text('<article><p class="ad">Buy<p>First<p>Second</article>') == "First Second"
     assert main_text("<article><div><form>Sign</div><p>Rest</article>") == "Rest"

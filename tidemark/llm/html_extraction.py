@@ -5,7 +5,7 @@ full to the parent and ever less above. A container's points are discounted by i
 density; the best container is the article, and siblings that score alike, or are
 paragraphs of running text, are kept with it. Elements that are no article by tag, role
 or name (menus, sidebars, notices, adverts, forms, comments) are left out before; they end
-where any element ends.
+where any element ends. Containers whose name or size speaks for them are left to the points.
 """
 
 from __future__ import annotations
@@ -53,13 +53,19 @@ ENDS = {tag: (frozenset(a.split()), frozenset(b.split())) for tag, (a, b) in END
 
 #: Parts of names (class, id) and roles of what is no article; and of what is one.
 UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|side|widget\w*|comment\w*|disqus|respond|"
+    r"(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|side|widget\w*|comment\w*|disqus|respond|"
     r"reply|replies|discussion|reactions|cookie\w*|consent|gdpr|notice\w*|alert\w*|popup|modal|overlay|newsletter|subscribe|"
     r"subscription|signup|login|share|sharing|social|related|recommend\w*|breadcrumb\w*|pagination|pager|menu\w*|nav\w*|"
-    r"footer|foot|masthead|header|topbar|toolbar|search|skip|legal|copyright|tags?|toc)(?:$|[\s_-])",
+    r"footer|foot|masthead|header|topbar|toolbar|search|skip|legal|copyright|tags?|toc)",
     re.IGNORECASE,
 )
 LIKELY = re.compile(r"article|body|content|entry|main|post|story|text", re.IGNORECASE)
+#: Parts of a name that alone mark an article; and first and last parts of names that tell a state.
+LIKELY_HEADS = frozenset("article content entry main post story".split())
+STATE = frozenset("has with without no not is tag category format type status show hide".split())
+STATE_ENDS = frozenset("open closed enabled disabled active on off".split())
+#: Characters, without white space, from which a container can be an article whatever its name.
+LARGE = 500
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split()
 )
@@ -146,12 +152,41 @@ def parse(page: str) -> Node:
             here = child
 
 
+def _unlikely(name: str) -> tuple[bool, bool]:
+    """Whether a whole word of class or id, or its first or last part, names no article; or one.
+
+    ``has-sidebar``, ``comments-open`` and ``tag-politics`` tell the state of what they stand on.
+    """
+    against = rescued = False
+    for token in name.lower().split():
+        parts = [x for x in re.split("[_-]+", token) if x]
+        if not parts or len(parts) > 1 and (parts[0] in STATE or parts[-1] in STATE_ENDS):
+            continue
+        if UNLIKELY.fullmatch(parts[0]) or UNLIKELY.fullmatch(parts[-1]):
+            against = True
+        elif parts[0] in LIKELY_HEADS or parts[-1] in LIKELY_HEADS:
+            rescued = True
+    return against, rescued
+
+
 def _cut_by_name(order: list[Node]) -> bool:
-    """Mark what is no article by name; whether anything was marked."""
-    found = False
+    """Mark what is no article by name; whether anything was marked.
+
+    Containers with few links that also bear an article's name, or hold half of the page's
+    text and much of it, are left to the points.
+    """
+    whole, found = order[-1].chars, False
     for node in order:
-        if node.name and node.tag not in ("article", "main") and node.tag not in HEADING and UNLIKELY.search(node.name):
-            node.cut = found = True
+        if not node.name or node.tag in ("article", "main") or node.tag in HEADING:
+            continue
+        against, rescued = _unlikely(node.name)
+        if not against:
+            continue
+        if node.tag in CONTAINER and node.link_density() < 0.5 and (
+            rescued or node.chars >= max(LARGE, whole / 2)
+        ):
+            continue
+        node.cut = found = True
     return found
 
 
