@@ -54,6 +54,21 @@ def test_substrings_of_awkward_rows(awkward, empty):
     assert remove_repeats(empty).collect() == []
 
 
+def test_substrings_of_texts_that_share_an_id(spark):
+    first, own = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    shared = " ".join(f"c{i}" for i in range(25))
+    # Under id 2: a copy of id 1; its own text, long, whose repeat starts late; and a short one.
+    late = f"{own} {first}"
+    short = " ".join(f"d{i}" for i in range(21))
+    rows = [(1, first), (2, first), (2, late), (2, short), (2, shared), (3, f"x {shared}"), (3, short)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in remove_repeats(docs, columns=("kept", "spans")).collect())
+    assert got == sorted(
+        [(1, first, []), (2, "", [0, 30]), (2, own, [30, 60]), (2, short, []), (2, shared, [])]
+        + [(3, "x", [1, 26]), (3, "", [0, 21])]
+    )
+
+
 def expected_lines(rows):
     seen, out = set(), {}
     for doc_id, text in sorted(rows):

@@ -66,42 +66,44 @@ def remove_repeats(
 
     Null and empty texts have no words. Texts without an id come last, in the order of
     their hash, and keep a null id. Rows with the same id and text are one document and
-    get the same result each; other columns don't matter. Windows are compared by 96 bits of
+    get the same result each; different texts under one id aren't earlier than each other. Other columns don't matter. Windows are compared by 96 bits of
     hash, whole texts by 128: a wrong match is expected once in some 10^14 windows.
     """
     table = id_and_text(docs, id_col, text_col)
-    # All three columns go along each time, so that the joins by rank share one shuffle of texts.
+    # All three columns go along each time, so that the joins by key share one shuffle of texts.
+    key = ["rank", "mark"]
     ranked = table.select(
         F.coalesce("doc_id", F.xxhash64("text").bitwiseAND(F.lit(_NO_ID - 1)) + _NO_ID).alias("rank"),
+        F.xxhash64("text").alias("mark"),
         "doc_id",
         "text",
     )
-    named = ranked.select("rank", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+    named = ranked.select("rank", "mark", F.col("mark").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
     firsts = named.groupBy("t1", "t2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
     copies = (
         named.join(firsts.where("first < last"), ["t1", "t2"])
         .where("rank > first")
-        .select("rank", F.lit(True).alias("copy"))
+        .select("rank", "mark", F.lit(True).alias("copy"))
         .distinct()
     )
 
-    def anchors_of(rank: int, _: int | None, text: str) -> tuple:
+    def anchors_of(rank: int, mark: int, _: int | None, text: str) -> tuple:
         found = np.unique(_anchors(word_hashes(text.encode().split()), window, seed)[0])
-        return _signed(found), np.full(len(found), rank)
+        return _signed(found), np.full(len(found), rank), np.full(len(found), mark)
 
     anchors = map_arrays(
-        ranked.join(copies, "rank", "left_anti"),
+        ranked.join(copies, key, "left_anti"),
         lambda: anchors_of,
-        "seed long, rank long",
+        "seed long, rank long, mark long",
     )
     shared = anchors.groupBy("seed").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
     seeds = (
         anchors.join(shared.where("first < last").select("seed"), "seed")
-        .groupBy("rank")
+        .groupBy(*key)
         .agg(F.collect_set("seed").alias("seeds"))
     )
 
-    def windows_of(rank: int, _: int | None, text: str, found: list[int]) -> tuple:
+    def windows_of(rank: int, mark: int, _: int | None, text: str, found: list[int]) -> tuple:
         hashes = word_hashes(text.encode().split())
         least, _ = _anchors(hashes, window, seed)
         at = np.flatnonzero(np.isin(_signed(least), np.array(found, np.int64)))
@@ -109,22 +111,22 @@ def remove_repeats(
         wide, first = np.unique(wide, return_index=True)
         at = at[first]
         check = (least[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        return _signed(wide), check, np.full(len(at), rank), at.astype(np.int32)
+        return _signed(wide), check, np.full(len(at), rank), np.full(len(at), mark), at.astype(np.int32)
 
     windows = map_arrays(
-        ranked.join(seeds, "rank"),
+        ranked.join(seeds, key),
         lambda: windows_of,
-        "wide long, check int, rank long, at int",
+        "wide long, check int, rank long, mark long, at int",
     )
     least = windows.groupBy("wide", "check").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
     repeats = (
         windows.join(least.where("first < last").select("wide", "check", "first"), ["wide", "check"])
         .where("rank > first")
-        .groupBy("rank")
+        .groupBy(*key)
         .agg(F.collect_set("at").alias("starts"))
     )
 
-    def cut(_: int, doc_id: int | None, text: str, copy: bool | None, starts: list[int] | None):
+    def cut(_: int, __: int, doc_id: int | None, text: str, copy: bool | None, starts: list[int] | None):
         words = text.encode().split()
         n = len(words)
         gone = np.zeros(n, bool)
@@ -157,7 +159,7 @@ def remove_repeats(
 
     kinds = {"n_words": "long", "n_removed": "long", "spans": "array<long>", "kept": "string", "kept_sha256": "string"}
     return map_rows(
-        ranked.join(copies, "rank", "left").join(repeats, "rank", "left"),
+        ranked.join(copies, key, "left").join(repeats, key, "left"),
         lambda: cut,
         ", ".join(["doc_id long", *(f"{name} {kinds[name]}" for name in columns)]),
         rows=500,
