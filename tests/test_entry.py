@@ -1,11 +1,15 @@
 """Every registered query: against its SQL, and the shape of its plan."""
 
+import runpy
+import sys
+
+import oracles
 import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry_points
 
-NAMES = list(entry_points.queries())
+NAMES = list(entry_points.CORE)
 INGEST = {"events_bronze", "marketing_spend_bronze", "subscriptions_bronze", "table_roundtrip"}
 
 
@@ -15,7 +19,17 @@ def connection(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(NAMES) == set(entry_points.oracle_sql())
+    assert set(NAMES) <= set(entry_points.queries())
+    assert set(NAMES) == set(oracles.oracle_sql())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+def test_without_an_optional_library(monkeypatch):
+    """The library's own queries stay when one that only training data needs is missing."""
+    monkeypatch.setitem(sys.modules, "tidemark.llm", None)
+    found = runpy.run_path(entry_points.__file__)
+    assert set(found["queries"]()) == set(NAMES)
+    assert set(found["oracle_sql"]()) == set(NAMES)
 
 
 @pytest.mark.parametrize("name", NAMES)
