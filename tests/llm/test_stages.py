@@ -1,9 +1,6 @@
-"""The pipeline, stage by stage, and the registered queries."""
-
-import re
+"""The pipeline, stage by stage."""
 
 import corpus_pipeline
-from tidemark.llm import queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,8 +34,3 @@ def test_stages_take_an_empty_table(spark, empty):
         docs = corpus_pipeline.stored(stage(spark, docs, SF))
     assert docs.count() == 0
 
-
-def test_each_operator_has_its_query():
-    numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
-    assert set(queries.ORACLES) <= set(queries.QUERIES)
