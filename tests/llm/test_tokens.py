@@ -10,6 +10,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from tidemark.llm import sharding, token_files
+from tidemark.llm.byte_pairs import BytePairs
 from tidemark.llm.sentencepiece_codec import Codec, encode_and_decode
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -61,14 +62,18 @@ def test_encoding_on_spark(awkward, empty, library):
     assert encode_and_decode(empty, PIECES).collect() == []
 
 
-def test_words_encoded_apart_as_the_library():
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_byte_pairs_as_the_library(special_as_text):
     rng = random.Random(2)
-    one, library = token_files.Encoder(BYTE_PAIRS), Tokenizer.from_file(BYTE_PAIRS)
+    one, library = BytePairs(BYTE_PAIRS, special_as_text), Tokenizer.from_file(BYTE_PAIRS)
+    library.encode_special_tokens = special_as_text
     letters = "ab  \n\t\r'sré1 2中 \xa0\x1c\x85!?.​  tll"
     texts = ["".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(3000)]
-    for text in [*texts, "hi <|endoftext|> there", "", "don't  stop"]:
+    for text in [*texts, "hi <|endoftext|> there", "", "don't  stop", "w" * 5000]:
         ids = library.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(one.encode(text), one.dtype).tolist() == ids
+        assert one.ids(text).tolist() == ids
+        if special_as_text or "<|" not in text:
+            assert b"".join(one.bytes_of[i] for i in ids) == text.encode()
 
 
 def test_token_files_round_trip(spark, docs, corpus):

@@ -15,68 +15,23 @@ file by an equal one. The folder may be on any file system that Arrow reaches by
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as fs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from tidemark.llm.byte_pairs import byte_pairs
 from tidemark.llm.common import id_and_text, map_rows
 from tidemark.llm.components import stored
 from tidemark.session import shared_folder
 
 SEQUENCE = 2048
 BATCH = 64
-#: Distinct words kept with their ids in a worker; then the memory starts anew.
-REMEMBERED = 1_200_000
-
-# The vocabulary's own rule of splitting (a fixed value): parts never merge with each other.
-_SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""").findall
-# Texts of these scripts only are split here; for them all regex engines agree on what is a
-# letter or a space. The library splits any other text itself.
-_SETTLED = re.compile("[\t\n\r\x20-\x7e\xa0-\u024f\u0370-\u03ff\u0400-\u04ff\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*").fullmatch
-
-
-class Encoder:
-    """Ids as little-endian bytes, each distinct word encoded once by the library."""
-
-    def __init__(self, path: str) -> None:
-        self.library = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)) if special else r"(?!)").search
-        self.words: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if not _SETTLED(text) or self.special(text):  # a special token's name is one id
-            return self._whole(text)
-        parts = _SPLIT(text)
-        out = list(map(self.words.get, parts))
-        if None in out:
-            missing = list({part for part, ids in zip(parts, out) if ids is None})
-            if len(self.words) + len(missing) > REMEMBERED:
-                self.words.clear()
-            found = self.library.encode_batch_fast(missing, add_special_tokens=False)
-            new = {part: np.array(e.ids, self.dtype).tobytes() for part, e in zip(missing, found)}
-            self.words |= new
-            out = [ids if ids is not None else new[part] for part, ids in zip(parts, out)]
-        return b"".join(out)
-
-
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
 
 
 class SequenceWriter:
@@ -114,10 +69,13 @@ class SequenceWriter:
 
 
 class SequenceFile:
-    """Random access to a written file; ids are views of its batches."""
+    """Random access to a written file through a memory map; ids are views of its batches."""
 
     def __init__(self, folder: str, part: int) -> None:
-        self.batches = _batches(folder, f"part-{part:06d}.arrow")
+        system, path = fs.FileSystem.from_uri(f"{folder}/part-{part:06d}.arrow")
+        local = isinstance(system, fs.LocalFileSystem)
+        source = pa.memory_map(path) if local else system.open_input_file(path)
+        self.batches = list(pa.ipc.open_stream(source))  # of a memory map, none is read yet
 
     def sequence(self, i: int) -> np.ndarray:
         at = i % BATCH * SEQUENCE
@@ -129,21 +87,30 @@ class SequenceFile:
     def _ids(self, batch: int) -> np.ndarray:
         return self.batches[batch].column("ids").flatten().to_numpy(zero_copy_only=True)
 
-    def views(self, start: int, stop: int) -> Iterator[np.ndarray]:
-        """The ids from ``start`` to ``stop`` of the file, a view for each batch they lie in."""
-        size = BATCH * SEQUENCE
-        while start < stop:
-            batch, at = divmod(start, size)
-            n = min(stop - start, size - at)
-            yield self._ids(batch)[at : at + n]
-            start += n
-
 
-def _batches(folder: str, name: str) -> list[pa.RecordBatch]:
+def _batches(folder: str, name: str) -> Iterator[pa.RecordBatch]:
+    """The batches of a file in turn, one in memory."""
     system, path = fs.FileSystem.from_uri(f"{folder}/{name}")
     local = isinstance(system, fs.LocalFileSystem)
-    source = pa.memory_map(path) if local else system.open_input_file(path)
-    return list(pa.ipc.open_stream(source))
+    source = pa.memory_map(path) if local else system.open_input_stream(path)
+    yield from pa.ipc.open_stream(source)
+
+
+class IdStream:
+    """The ids of a file from its start, in views of its batches."""
+
+    def __init__(self, folder: str, part: int) -> None:
+        self.batches = _batches(folder, f"part-{part:06d}.arrow")
+        self.view = np.zeros(0, np.uint8)
+
+    def take(self, n: int) -> Iterator[np.ndarray]:
+        """The next ``n`` ids, a view for each batch they lie in."""
+        while n:
+            if not len(self.view):
+                self.view = next(self.batches).column("ids").flatten().to_numpy(zero_copy_only=True)
+            found, self.view = self.view[:n], self.view[n:]
+            n -= len(found)
+            yield found
 
 
 def _as_uri(folder: str) -> str:
@@ -172,7 +139,7 @@ def write_token_files(
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part = context.partitionId()
-        with_library = encoder(tokenizer)
+        with_library = byte_pairs(tokenizer)
         end = np.array([end_id], with_library.dtype).tobytes()
         system, root = fs.FileSystem.from_uri(folder)
         system.create_dir(root)
@@ -186,7 +153,7 @@ def write_token_files(
             for batch in batches:
                 lengths = []
                 for text in batch.column("text").to_pylist():
-                    ids = with_library.encode(text) + end
+                    ids = with_library.ids(text).astype(with_library.dtype).tobytes() + end
                     sequences.write(ids)
                     lengths.append(len(ids) // with_library.dtype.itemsize)
                 columns = [batch.column("doc_id"), pa.array(lengths, pa.int64())]
@@ -212,19 +179,20 @@ def read_documents(folder: str, parts: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, from the files alone.
 
     ``start`` counts all ids before the document; the CRC is of its ids as little-endian
-    32-bit integers.
+    32-bit integers. One file is one task, which holds a batch of it at a time.
     """
 
     def one(part: int, start: int) -> Iterator[tuple]:
-        sequences = SequenceFile(folder, part)
+        ids = IdStream(folder, part)
         at = 0
         for batch in _batches(folder, f"part-{part:06d}.docs.arrow"):
             for doc_id, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 crc = 0
-                for view in sequences.views(at, at + n):
+                for view in ids.take(n):
                     crc = zlib.crc32(view.astype("<u4"), crc)
                 yield doc_id, start + at, n, crc
                 at += n
 
-    table = parts.select("part", "start").repartition("part")
+    files = max(1, parts.count())
+    table = parts.select("part", "start").repartitionByRange(files, "part")  # a file for each task
     return map_rows(table, lambda: one, "doc_id long, start long, n_tokens long, ids_crc32 long")
