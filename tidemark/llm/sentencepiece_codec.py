@@ -73,7 +73,8 @@ class Codec:
         alone = "".join(re.escape(c) for c in "\n\t" if c not in self.joined)
         self.cut = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]", re.DOTALL).findall
         self.agrees: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[list[int], str, str]] = {}
+        #: Of each remembered part: how many ids it has, these as text, and its decoded text.
+        self.words: dict[str, tuple[int, str, str]] = {}
 
     def merged(self, text: str) -> list[str]:
         """BPE by merging, best score first, then leftmost. For the text of a pair or so."""
@@ -170,23 +171,34 @@ class Codec:
         """All ids of a text, without an end id."""
         ids: list[int] = []
         for part in self.parts_of(text):
-            ids += self.known(part)[0]
+            ids += self.encode_part(part)
         return ids
 
     def parts_of(self, text: str) -> list[str]:
         return self.cut(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def known(self, part: str) -> tuple[list[int], str, str]:
-        """A part's ids, its ids as text, and its decoded text with the ▁ in front."""
-        entry = self.words.get(part)
-        if entry is None:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            ids = self.encode_part(part)
-            inside = self.decode([self.byte_id[ord("x")], *ids])[1:]  # its ▁ is not the text's first
-            entry = (ids, " ".join(map(str, ids)), inside)
-            self.words[part] = entry
-        return entry
+    def inside(self, part: str, ids: list[int]) -> str:
+        """Decoded text of a part's ids behind other text, where its first ▁ is a space."""
+        plain = "".join([self.pieces[i] for i in ids])
+        if plain == part:  # no bytes, no unknown id: the pieces are the text
+            return plain.replace(SPACE, " ")
+        return self.decode([self.byte_id[ord("x")], *ids])[1:]
+
+    def known(self, parts: list[str]) -> list[tuple[int, str, str]]:
+        """Of each part: the number of its ids, these as text, and its decoded text with the ▁ in front."""
+        words = self.words
+        out = list(map(words.get, parts))
+        if None in out:
+            missing = {part for part, entry in zip(parts, out) if entry is None}
+            if len(words) + len(missing) > REMEMBERED:
+                words.clear()
+            new = {}
+            for part in missing:
+                ids = self.encode_part(part)
+                new[part] = len(ids), " ".join(map(str, ids)), self.inside(part, ids)
+            words.update(new)
+            out = [entry or new[part] for part, entry in zip(parts, out)]
+        return out
 
 
 def _utf8(run: bytes) -> str:
@@ -242,21 +254,20 @@ def encode_and_decode(
 
     def make():
         with_model = codec(model)
+        end = with_model.end_id
 
         def one(doc_id: int | None, text: str) -> Iterator[tuple]:
-            entries = list(map(with_model.known, with_model.parts_of(text)))
-            end = with_model.end_id
+            counts, ids, decoded = zip(*with_model.known(with_model.parts_of(text)), (1, str(end), ""))
+            ids_text, decoded = " ".join(ids), "".join(decoded)[1:]
             values: list = [doc_id]
             for name in columns:
                 if name == "n_tokens":
-                    values.append(sum([len(e[0]) for e in entries]) + 1)
+                    values.append(sum(counts))
                 elif name == "token_ids":
-                    values.append([i for e in entries for i in e[0]] + [end])
+                    values.append(list(map(int, ids_text.split())))
                 elif name == "ids_sha256":
-                    ids = " ".join([e[1] for e in entries] + [str(end)])
-                    values.append(hashlib.sha256(ids.encode()).hexdigest())
+                    values.append(hashlib.sha256(ids_text.encode()).hexdigest())
                 else:
-                    decoded = "".join([e[2] for e in entries])[1:]
                     digest = hashlib.sha256(decoded.encode()).hexdigest
                     values.append(decoded if name == "decoded" else digest())
             yield tuple(values)
