@@ -68,7 +68,7 @@ def map_rows(df: DataFrame, make: Callable, schema: str, rows: int = 2000) -> Da
     (an automaton, a model) is paid once. Results leave in batches of ``rows``:
     memory doesn't grow with the partition.
     """
-    arrow = _arrow_schema(schema)
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
@@ -85,7 +85,7 @@ def map_rows(df: DataFrame, make: Callable, schema: str, rows: int = 2000) -> Da
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(schema: str) -> pa.Schema:
+def arrow_schema(schema: str) -> pa.Schema:
     kinds = {
         "long": pa.int64(),
         "int": pa.int32(),
@@ -109,7 +109,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def map_arrays(df: DataFrame, make: Callable, schema: str, rows: int = 50_000) -> DataFrame:
     """As ``map_rows``, for functions that return a tuple of equally long numpy arrays."""
-    arrow = _arrow_schema(schema)
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontamination,
@@ -13,6 +14,7 @@ from tidemark.llm import (
     line_dedup,
     minmax_dedup,
     oracles,
+    periodic_runs,
     quality_rules,
     sentencepiece_codec,
     sharding,
@@ -20,7 +22,7 @@ from tidemark.llm import (
     token_files,
     toxicity,
 )
-from tidemark.llm.common import ship
+from tidemark.llm.common import let, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +88,31 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the documents repeat some of their words up to their end.
+
+    With h the CRC of the id and g = h div 10, those with h mod 10 = 0 and n > 0 words have,
+    from word a = g mod n on, the p words there over and over, p = 1 + (n - a) div (3 + g mod 8).
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    found = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def repeated(x: Column) -> Column:
+        words, n, g = x["words"], F.size(x["words"]), x["g"]
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        at = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.concat_ws(" ", F.transform(F.sequence(F.lit(0), n - 1), lambda i: words[at(i)]))
+
+    planted = let(F.struct(found.alias("words"), F.floor(h / 10).alias("g")), lambda x: F.when(F.size(x["words"]) > 0, repeated(x)))
+    return docs.select("doc_id", F.coalesce(F.when(h % 10 == 0, planted), "text").alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    return periodic_runs.find_runs(with_planted_runs(_table(spark, sf_dir, "documents")), columns)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
@@ -97,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
