@@ -19,6 +19,7 @@ from tidemark.llm import (
     sentencepiece_codec,
     sharding,
     substring_dedup,
+    token_alignment,
     token_files,
     toxicity,
 )
@@ -113,6 +114,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.find_runs(with_planted_runs(_table(spark, sf_dir, "documents")), columns)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")
+    return token_alignment.align_and_rate(_table(spark, sf_dir, "documents"), BYTE_PAIRS, PIECES, columns)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
@@ -125,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
