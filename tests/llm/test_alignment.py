@@ -76,8 +76,9 @@ ODD = [
 ]
 
 
-@pytest.mark.parametrize("chunk", [token_alignment.CHUNK, 300])
-def test_as_brute_force(spark, docs, corpus, monkeypatch, chunk):
+@pytest.mark.parametrize("batch, chunk", [(token_alignment.BATCH, token_alignment.CHUNK), (300, 1000), (1, 1)])
+def test_as_brute_force(spark, docs, corpus, monkeypatch, batch, chunk):
+    monkeypatch.setattr(token_alignment, "BATCH", batch)
     monkeypatch.setattr(token_alignment, "CHUNK", chunk)
     rows = [*corpus, *ODD]
     table = docs.union(spark.createDataFrame(ODD, "doc_id long, text string"))

@@ -1,14 +1,14 @@
 """Alignment of two tokenizers' tokens over the bytes of the same text.
 
 A byte-level BPE (side A, of a space and the text) and a SentencePiece model (side B, which
-puts that space itself) cut the same bytes at different places. Per chunk of documents, two
+puts that space itself) cut the same bytes at different places. Per batch of documents, two
 as-of merges by pandas, keyed by document, name for each token's start the token of the
 other side that covers it. Together they give all overlapping pairs: of two tokens that
 overlap, the later one starts inside the other. Places where both sides start a token cut
 the text into groups, the least stretches that both sides hold whole.
 
-Counts of id pairs are corpus-wide. A chunk of ``CHUNK`` characters is summed up to its
-distinct pairs before anything is shuffled; these are counted by pair, compared by B id,
+Counts of id pairs are corpus-wide. A chunk of ``CHUNK`` characters in batches is summed up
+to its distinct pairs before anything is shuffled; these are counted by pair, compared by B id,
 and handed back to the chunks that hold them, whose documents then add them up. A pair in
 every document costs a row per chunk, and nothing grows with the vocabulary in one task.
 """
@@ -31,7 +31,9 @@ from tidemark.llm.byte_pairs import byte_pairs
 from tidemark.llm.common import arrow_schema, id_and_text
 from tidemark.llm.components import stored
 
-#: Characters of a chunk's texts, or one longer text.
+#: Characters of the texts aligned together, or one longer text.
+BATCH = 250_000
+#: Characters of a chunk, to the end of its last batch.
 CHUNK = 4_000_000
 
 
@@ -88,7 +90,7 @@ def aligner(byte_pairs_file: str, pieces_file: str) -> Aligner:
 
 
 class Alignment:
-    """Tokens, links and groups of a chunk of texts.
+    """Tokens, links and groups of a batch of texts.
 
     ``ids``, ``doc`` and ``begins`` (whether a token starts a group) by side; ``links`` are
     token numbers of both sides, by document, ascending.
@@ -147,14 +149,14 @@ def _covering(tokens: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
     return found["token"].to_numpy(np.int64)
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts of documents with about ``CHUNK`` characters together."""
+def _batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of documents with about ``BATCH`` characters together."""
     ids: list = []
     texts: list[str] = []
     size = 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if size and size + len(text) > CHUNK:
+            if size and size + len(text) > BATCH:
                 yield ids, texts
                 ids, texts, size = [], [], 0
             ids.append(doc_id)
@@ -223,7 +225,7 @@ def align(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = aligner(byte_pairs_file, pieces_file)
-        for ids, texts in _chunks(batches):
+        for ids, texts in _batches(batches):
             values = _columns(Alignment(tokenizers, texts), columns)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *values.values()], schema=arrow)
 
@@ -234,7 +236,7 @@ def _summed_chunks(docs: DataFrame, byte_pairs_file: str, pieces_file: str, colu
     """Rows of documents, and for each chunk a row with its distinct id pairs and their counts.
 
     ``places`` and ``times`` of a document are numbers of its distinct pairs among those of
-    its chunk, and how often it has them.
+    its chunk, and how often it has them. Chunks without pairs have no such row.
     """
     schema = ", ".join(
         [
@@ -247,23 +249,39 @@ def _summed_chunks(docs: DataFrame, byte_pairs_file: str, pieces_file: str, colu
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = aligner(byte_pairs_file, pieces_file)
         chunk = TaskContext.get().partitionId() << 32
-        for ids, texts in _chunks(batches):
+        place_of: dict[int, int] = {}
+        counts = np.zeros(0, np.int64)
+        size = 0
+
+        def as_batch(row: dict, n: int) -> pa.RecordBatch:
+            row["chunk"] = pa.array([chunk] * n, pa.int64())
+            return pa.RecordBatch.from_arrays([row.get(f.name, pa.nulls(n, f.type)) for f in arrow], schema=arrow)
+
+        def summed() -> pa.RecordBatch:
+            return as_batch({"pairs": pa.array([list(place_of)]), "counts": pa.array([counts])}, 1)
+
+        for ids, texts in _batches(batches):
             found = Alignment(tokenizers, texts)
-            pairs, place, counts = np.unique(found.pairs(), return_inverse=True, return_counts=True)
-            own, times = np.unique(found.link_doc * max(1, len(pairs)) + place, return_counts=True)
-            doc, place = np.divmod(own, max(1, len(pairs)))
+            pairs, own, amounts = np.unique(found.pairs(), return_inverse=True, return_counts=True)
+            places = np.array([place_of.setdefault(pair, len(place_of)) for pair in pairs.tolist()], np.int64)
+            counts = np.append(counts, np.zeros(len(place_of) - len(counts), np.int64))
+            counts[places] += amounts
+            own, times = np.unique(found.link_doc * max(1, len(pairs)) + own, return_counts=True)
+            doc, own = np.divmod(own, max(1, len(pairs)))
             sizes = np.bincount(doc, minlength=found.n)
-            first = {
-                "chunk": pa.array(np.full(found.n, chunk)),
+            rows = {
                 "doc_id": pa.array(ids, pa.int64()),
-                "places": _split(place, sizes, pa.int32()),
+                "places": _split(places[own], sizes, pa.int32()),
                 "times": _split(times, sizes, pa.int32()),
-            } | _columns(found, columns)
-            last = {"chunk": pa.array([chunk]), "pairs": pa.array([pairs]), "counts": pa.array([counts])}
-            for row in (first, last):
-                n = len(row["chunk"])
-                yield pa.RecordBatch.from_arrays([row.get(f.name, pa.nulls(n, f.type)) for f in arrow], schema=arrow)
-            chunk += 1
+            }
+            yield as_batch(rows | _columns(found, columns), found.n)
+            size += sum(map(len, texts))
+            if size >= CHUNK:
+                yield summed()
+                place_of, counts, size = {}, counts[:0], 0
+                chunk += 1
+        if place_of:
+            yield summed()
 
     return stored(docs.mapInArrow(run, schema))
 
