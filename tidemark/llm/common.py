@@ -95,6 +95,7 @@ def arrow_schema(schema: str) -> pa.Schema:
         "binary": pa.binary(),
         "array<int>": pa.list_(pa.int32()),
         "array<long>": pa.list_(pa.int64()),
+        "array<double>": pa.list_(pa.float64()),
         "array<string>": pa.list_(pa.string()),
     }
     return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in schema.split(", "))])

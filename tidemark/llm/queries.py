@@ -15,6 +15,7 @@ from tidemark.llm import (
     minmax_dedup,
     oracles,
     periodic_runs,
+    quality_classifier,
     quality_rules,
     sentencepiece_codec,
     sharding,
@@ -89,6 +90,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_classifier.score(docs, quality_classifier.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text; a tenth of the documents repeat some of their words up to their end.
 
@@ -130,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "op11_quality_classifier": op11_quality_classifier,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_alignment": op13_token_alignment,
 }
