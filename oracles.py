@@ -27,8 +27,8 @@ CTES = {
         SELECT *, 0 AS copy FROM events
         UNION ALL SELECT *, 1 FROM events WHERE event_id % 20 = 0
         UNION ALL SELECT *, 2 FROM events WHERE event_id % 21 = 0""",
-    "events_bronze": """
-        SELECT
+    "events_keyed": """
+        SELECT event_id AS _key,
             CASE WHEN event_id % 71 <> 0 THEN CAST(event_id AS VARCHAR) END AS event_id,
             CASE WHEN event_id % 29 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
             CASE WHEN event_id % 43 = 0 THEN 'bogus'
@@ -43,7 +43,8 @@ CTES = {
                  WHEN event_id % 3 = 1
                      THEN strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S+05:30')
                  ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS timestamp,
-            CASE WHEN event_id % 2 = 0 THEN 'v2' ELSE 'v1' END AS schema_version,
+            CASE WHEN event_id % 83 = 0 THEN NULL
+                 WHEN event_id % 2 = 0 THEN 'v2' ELSE 'v1' END AS schema_version,
             CASE WHEN event_id % 67 = 0 THEN NULL
                  WHEN event_id % 61 = 0 THEN -value
                  ELSE value END + CASE WHEN copy = 2 THEN 10 ELSE 0 END AS amount,
@@ -56,6 +57,7 @@ CTES = {
             CASE WHEN event_id % 73 = 0 THEN '{"event_id": "' || event_id END AS _rescued_data,
             TIMESTAMP '2024-02-01' + to_days(copy) AS _ingest_timestamp
         FROM event_copies LEFT JOIN customers ON c_custkey = user_id""",
+    "events_bronze": "SELECT * EXCLUDE (_key) FROM events_keyed",
     "events_faults": f"""
         SELECT *,
             CASE WHEN _rescued_data IS NOT NULL THEN 'corrupted_json'
@@ -89,24 +91,28 @@ CTES = {
             FROM events_parsed)
         WHERE rn = 1""",
     "known_users": "SELECT * FROM events_silver WHERE NOT _user_id_missing",
-    "marketing_bronze": """
+    "marketing_keyed": """
         SELECT
             CASE WHEN o_orderkey % 103 = 0 THEN NULL
                  WHEN o_orderkey % 109 = 0 THEN 'soon'
-                 ELSE strftime(DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER), '%Y-%m-%d')
+                 ELSE strftime(DATE '2024-01-01' + CAST(CASE
+                     WHEN channel = 'building' AND o_orderkey % 30 IN (4, 11) THEN o_orderkey % 30 - 1
+                     WHEN channel = 'building' AND o_orderkey % 30 = 5 THEN 6
+                     ELSE o_orderkey % 30 END AS INTEGER), '%Y-%m-%d')
             END AS date,
             CASE WHEN o_orderkey % 101 = 0 THEN '' ELSE channel END AS channel,
             CASE WHEN o_orderkey % 107 = 0 THEN NULL
                  WHEN o_orderkey % 97 = 0 THEN -spend ELSE spend END AS spend,
-            TIMESTAMP '2024-02-01' + to_days(copy) AS _ingest_timestamp
+            TIMESTAMP '2024-02-01' + to_days(copy) AS _ingest_timestamp,
+            o_orderkey AS _key
         FROM (
             SELECT o_orderkey, channel, copy,
                 CAST(round(CAST(o_totalprice AS DECIMAL(18, 4)) * CAST(0.001 AS DECIMAL(4, 3)), 2)
                      AS DOUBLE) AS spend
             FROM (SELECT *, 0 AS copy FROM orders
                   UNION ALL SELECT *, 1 FROM orders WHERE o_orderkey % 50 = 0)
-            JOIN customers ON c_custkey = o_custkey
-            WHERE NOT (channel = 'building' AND o_orderkey % 30 IN (4, 5, 11)))""",
+            LEFT JOIN customers ON c_custkey = o_custkey)""",
+    "marketing_bronze": "SELECT * EXCLUDE (_key) FROM marketing_keyed",
     "marketing_faults": """
         SELECT *,
             CASE WHEN date IS NULL THEN 'missing_date'
@@ -265,6 +271,11 @@ CTES = {
     "channel_ratio": f"""
         SELECT *, CASE WHEN avg_cac > 0 THEN {cents("avg_ltv / avg_cac")} END AS ltv_cac_ratio
         FROM channel_value LEFT JOIN channel_cost ON acquisition_channel = channel""",
+    "days": """
+        SELECT CAST(unnest(generate_series(
+                   min(start_date)::TIMESTAMP, max(greatest(start_date, end_date))::TIMESTAMP, INTERVAL 1 DAY)) AS DATE)
+               AS spine_date
+        FROM subscriptions_silver""",
     "spine": """
         SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01',
                                            INTERVAL 1 DAY)) AS DATE) AS spine_date""",
@@ -273,16 +284,19 @@ CTES = {
 # What each CTE reads, so that a query carries only what it needs.
 NEEDS = {
     "event_copies": [],
-    "events_bronze": ["customers", "event_copies"],
+    "events_keyed": ["customers", "event_copies"],
+    "events_bronze": ["events_keyed"],
     "events_faults": ["events_bronze"],
     "events_parsed": ["events_faults"],
     "events_silver": ["events_parsed"],
     "known_users": ["events_silver"],
-    "marketing_bronze": ["customers"],
+    "marketing_keyed": ["customers"],
+    "marketing_bronze": ["marketing_keyed"],
     "marketing_faults": ["marketing_bronze"],
     "marketing_silver": ["marketing_faults"],
     "subscriptions_checked": ["subscriptions_bronze"],
     "subscriptions_silver": ["subscriptions_checked"],
+    "days": ["subscriptions_silver"],
     "gross": ["events_silver"],
     "refunds": ["events_silver"],
     "signup_weeks": ["known_users"],
@@ -372,8 +386,14 @@ _RESCUED = """
         CASE WHEN _rescued_data IS NULL THEN tax END AS tax,
         CAST(NULL AS VARCHAR) AS refers_to_event_id,
         CASE WHEN _rescued_data IS NULL THEN acquisition_channel END AS acquisition_channel,
-        _rescued_data
-    FROM events_bronze"""
+        _rescued_data,
+        CASE WHEN _rescued_data IS NULL THEN nullif(concat_ws(';',
+            CASE WHEN _key % 37 = 0 AND _key % 83 <> 0 THEN 'schema_version=v0' END,
+            CASE WHEN _key % 31 = 0 THEN 'campaign=c' || (_key % 7) END,
+            CASE WHEN _key % 41 = 0 THEN 'device={"os":"x","v":' || (_key % 7) || '}' END), '')
+        END AS _extra_fields,
+        TIMESTAMP '2024-02-01' AS _ingest_timestamp
+    FROM events_keyed"""
 
 _GROSS = """
     SELECT event_date, round(gross_revenue, 2) AS gross_revenue, purchase_count, paying_users
@@ -382,16 +402,24 @@ _GROSS = """
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "events_bronze": with_tables(["events_bronze"], _RESCUED),
+        "events_bronze": with_tables(["events_keyed"], _RESCUED),
         "marketing_spend_bronze": with_tables(
-            ["marketing_bronze"],  # a CSV field without text is read as null
-            "SELECT date, nullif(channel, '') AS channel, CAST(spend AS VARCHAR) AS spend"
-            " FROM marketing_bronze",
+            ["marketing_keyed"],  # a CSV field without text is read as null
+            "SELECT date, nullif(channel, '') AS channel, CAST(spend AS VARCHAR) AS spend,"
+            " CAST(NULL AS VARCHAR) AS _rescued_data,"
+            " CASE WHEN _key % 3 = 1 THEN 'note=n, ' || (_key % 7) END AS _extra_fields,"
+            " TIMESTAMP '2024-02-01' AS _ingest_timestamp FROM marketing_keyed",
         ),
         "subscriptions_bronze": with_tables(
             ["subscriptions_bronze"],
-            "SELECT * EXCLUDE (_ingest_timestamp)"
-            " REPLACE (CAST(price AS VARCHAR) AS price) FROM subscriptions_bronze",
+            "SELECT * REPLACE (CAST(price AS VARCHAR) AS price),"
+            " CAST(NULL AS VARCHAR) AS _rescued_data,"
+            " CASE WHEN CAST(subscription_id AS BIGINT) % 151 = 0 THEN 'referrer={\"k\":'"
+            " || (CAST(subscription_id AS BIGINT) % 5) || '}' END AS _extra_fields"
+            " FROM subscriptions_bronze UNION ALL BY NAME"
+            " SELECT '{\"subscription_id\": \"' || subscription_id || '\", \"pri' AS _rescued_data,"
+            " TIMESTAMP '2024-02-01' AS _ingest_timestamp"
+            " FROM subscriptions_bronze WHERE CAST(subscription_id AS BIGINT) % 149 = 0",
         ),
         "events_quarantine": with_tables(
             ["events_faults"],
@@ -407,7 +435,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "unified_event_schema": with_tables(
             ["events_bronze"],
-            "SELECT event_id, schema_version, currency, tax, user_id,"
+            "SELECT event_id, schema_version, currency, tax, refers_to_event_id, user_id,"
             " user_id IS NULL AS _user_id_missing FROM events_bronze",
         ),
         "events_silver": with_tables(["events_silver"], "SELECT * FROM events_silver"),
@@ -463,7 +491,7 @@ def oracle_sql() -> dict[str, str]:
             " round(total_ltv, 2) AS total_ltv, avg_cac, round(total_spend, 2) AS total_spend,"
             " ltv_cac_ratio, ltv_cac_ratio >= 3.0 AS is_healthy FROM channel_ratio",
         ),
-        "date_spine": with_tables(["spine"], "SELECT spine_date FROM spine"),
+        "date_spine": with_tables(["days"], "SELECT spine_date FROM days"),
         "table_roundtrip": with_tables(["gross"], _GROSS),
         "users": with_tables(["users_table"], "SELECT * FROM users_table"),
         "email_validity_by_user_type": with_tables(

@@ -3,8 +3,11 @@ import json
 
 import pytest
 
-from tidemark.sources.files import read_subscriptions
-from tidemark.streaming.ingest import append_new, stream_events, stream_marketing
+from tidemark.schemas import BRONZE_TABLES
+from tidemark.sources.files import json_records, read_subscriptions
+from tidemark.sources.tables import BRONZE, Warehouse
+from tidemark.streaming import ingest
+from tidemark.streaming.ingest import ingest_events, ingest_marketing
 
 STAMP = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 
@@ -33,20 +36,26 @@ def feed(tmp_path):
     return src
 
 
-def ingest(spark, tmp_path, stream, name):
-    append_new(stream, str(tmp_path / name), str(tmp_path / f"{name}_checkpoint"))
-    return spark.read.parquet(str(tmp_path / name))
+@pytest.fixture
+def tables(spark, tmp_path):
+    return Warehouse(spark, str(tmp_path / "tables"))
+
 
+def extra(row):
+    found = row["_extra_fields"]
+    return None if found is None else [tuple(x) for x in found]
 
-def test_event_lines(spark, feed, tmp_path):
-    bronze = ingest(spark, tmp_path, stream_events(spark, str(feed), STAMP), "events")
+
+def test_event_lines(feed, tables):
+    bronze = ingest_events(tables, str(feed), STAMP)
+    assert bronze.columns == BRONZE_TABLES["events_bronze"].names
     rows = {row["event_id"]: row for row in bronze.collect()}
     assert bronze.count() == 7
     assert rows["good"]["amount"] == rows["quoted"]["amount"] == 12.5
-    assert rows["good"]["_rescued_data"] is None and rows["good"]["_extra_keys"] is None
+    assert rows["good"]["_rescued_data"] is None and rows["good"]["_extra_fields"] is None
     assert rows["mismatch"]["_rescued_data"] == LINES[2]
     assert rows["mismatch"]["amount"] is None
-    assert rows["extra"]["_extra_keys"] == ["campaign"] and rows["extra"]["tax"] == 1.0
+    assert extra(rows["extra"]) == [("campaign", "x")] and rows["extra"]["tax"] == 1.0
     assert rows["extra"]["_rescued_data"] is None
     assert rows["7"]["_rescued_data"] is None
     rescued = {row["_rescued_data"] for row in bronze.collect()}
@@ -54,21 +63,82 @@ def test_event_lines(spark, feed, tmp_path):
     assert {row["_ingest_timestamp"] for row in bronze.collect()} == {dt.datetime(2024, 2, 1)}
 
 
-def test_marketing_files(spark, feed, tmp_path):
-    bronze = ingest(spark, tmp_path, stream_marketing(spark, str(feed)), "marketing")
+def test_unknown_fields_and_repeated_keys_keep_their_values(spark):
+    lines = [
+        '{"event_id": "a", "amount": 1, "amount": 2, "z": "1", "z": null, "z": {"k": [1, 2]}}',
+        '{"event_id": null, "event_id": "b", "": 5}',
+        '{"z": true}',
+        "{}",
+        "null",
+    ]
+    parsed = ingest.parse_event_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
+    a, b, z, none, broken = parsed.collect()
+    assert (a["event_id"], a["amount"]) == ("a", 2.0) and a["_rescued_data"] is None
+    assert extra(a) == [("amount", "1"), ("z", "1"), ("z", None), ("z", '{"k":[1,2]}')]
+    assert b["event_id"] == "b" and extra(b) == [("event_id", None), ("", "5")]
+    assert extra(z) == [("z", "true")] and extra(none) is None and none["_rescued_data"] is None
+    assert broken["_rescued_data"] == "null"
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_marketing_files(feed, tables):
+    bronze = ingest_marketing(tables, str(feed))
     assert sorted(tuple(row)[:3] for row in bronze.collect() if row["date"]) == [
         ("2024-01-01", "ads", "10.50"),
         ("2024-01-02", None, "x"),
     ]
     assert bronze.filter("date IS NULL").first()["spend"] == "-1"
     assert bronze.filter("_ingest_timestamp IS NULL").count() == 0
+    assert bronze.filter("_rescued_data IS NOT NULL").count() == 0
 
 
-def test_second_run_takes_new_files_only(spark, feed, tmp_path):
-    def run():
-        stream = stream_events(spark, str(feed), files_per_batch=1)
-        return ingest(spark, tmp_path, stream, "events")
+def test_marketing_columns_go_by_the_header(spark, tables, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    files = {
+        "moved": "spend,date,channel\n1,2024-01-01,a\n",
+        "added": '\ufeffdate, Channel ,note,spend\r\n2024-01-02,b,"x, y",2\r\n2024-01-02,b,,3\r\n',
+        "missing": "channel,date\nc,2024-01-03\n",
+        "bare": "2024-01-04,d,4\n2024-01-04,d,5\n",
+        "uneven": 'date,channel,spend\n\n2024-01-05,e\n2024-01-05,e,6,7,8\n2024-01-05,"e,9\n2024-01-05,e,\n',
+        "twice": "date,channel,spend,spend\n2024-01-06,f,1,2\n",
+    }
+    for name, text in files.items():
+        (src / f"marketing_spend_{name}.csv").write_bytes(text.encode())
+    rows = [(*tuple(r)[:3], r["_rescued_data"], extra(r)) for r in ingest_marketing(tables, str(src)).collect()]
+    expected = [
+        ("2024-01-01", "a", "1", None, None),
+        ("2024-01-02", "b", "2", None, [("note", "x, y")]),
+        ("2024-01-02", "b", "3", None, None),
+        ("2024-01-03", "c", None, None, None),
+        ("2024-01-04", "d", "4", None, None),
+        ("2024-01-04", "d", "5", None, None),
+        ("2024-01-05", "e", None, "2024-01-05,e", None),
+        ("2024-01-05", "e", "6", "2024-01-05,e,6,7,8", [("_c4", "7"), ("_c5", "8")]),
+        (None, None, None, '2024-01-05,"e,9', None),
+        ("2024-01-05", "e", None, None, None),
+        ("2024-01-06", "f", "1", None, [("spend", "2")]),
+    ]
+    assert sorted(rows, key=str) == sorted(expected, key=str)
+
 
+def test_a_header_serves_all_blocks_of_its_file(spark, tables, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    lines = ["spend,channel,date", *(f"{i},c{i},2024-01-01" for i in range(3000))]
+    (src / "marketing_spend.csv").write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = ingest_marketing(tables, str(src)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(int(r["spend"]) for r in rows) == list(range(3000))
+    assert all(r["channel"] == f"c{r['spend']}" for r in rows)
+
+
+def test_second_run_takes_new_files_only(spark, feed, tables, tmp_path):
+    run = lambda: ingest_events(tables, str(feed), files_per_batch=1)
     assert run().count() == 7
     assert run().count() == 7
     (feed / "events_2.ndjson").write_text('{"event_id": "new"}\n')
@@ -76,13 +146,37 @@ def test_second_run_takes_new_files_only(spark, feed, tmp_path):
     twice = run()
     assert twice.count() == 9
 
-    once = ingest(spark, tmp_path, stream_events(spark, str(feed)), "at_once")
+    once = ingest_events(Warehouse(spark, str(tmp_path / "at_once")), str(feed))
     columns = [name for name in once.columns if name != "_ingest_timestamp"]
     assert sorted(map(str, twice.select(columns).collect())) == sorted(
         map(str, once.select(columns).collect())
     )
 
 
+def test_a_batch_that_runs_again_adds_nothing(feed, tables, monkeypatch):
+    """The table has taken the batch, the checkpoint has not: the interruption between the two."""
+    real = Warehouse.append
+
+    def append_and_fail(self, *args):
+        real(self, *args)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(Warehouse, "append", append_and_fail)
+    with pytest.raises(Exception, match="executor lost"):
+        ingest_events(tables, str(feed))
+    monkeypatch.setattr(Warehouse, "append", real)
+    assert ingest_events(tables, str(feed)).count() == 7
+
+
+def test_no_file_yet(spark, tables, tmp_path):
+    for ingest_feed in (ingest_events, ingest_marketing):
+        table = ingest_feed(tables, str(tmp_path))
+        assert table.count() == 0
+    assert tables.read(BRONZE, "marketing_spend_bronze").schema == BRONZE_TABLES["marketing_spend_bronze"]
+    none = read_subscriptions(spark, str(tmp_path / "absent.json"))
+    assert none.count() == 0 and none.columns == BRONZE_TABLES["subscriptions_bronze"].names
+
+
 @pytest.mark.parametrize("multiline", [True, False])
 def test_subscriptions(spark, tmp_path, multiline):
     records = [
@@ -100,3 +194,32 @@ def test_subscriptions(spark, tmp_path, multiline):
         rows = {row["subscription_id"]: row for row in bronze.collect()}
         assert {key: row["price"] for key, row in rows.items()} == {"s1": "19.99", "s2": "5"}
         assert rows["s1"]["_ingest_timestamp"] == dt.datetime(2024, 2, 1)
+        assert rows["s1"]["_extra_fields"] is None and extra(rows["s2"]) == [("unknown", "1")]
+
+
+def test_records_of_damaged_documents(spark, tmp_path):
+    good = [{"subscription_id": f"s{i}", "price": i, "plan_id": None} for i in range(400)]
+    text = json.dumps(good, indent=2)
+    (tmp_path / "whole.json").write_text(text)
+    (tmp_path / "cut.json").write_text(text[: text.index('"s7"') + 2])  # six whole ones
+    (tmp_path / "hole.json").write_text('[{"subscription_id": "h1"}, {"subscription_id": , "x"}, {"subscription_id": "h2"}]')
+    odd = [{"subscription_id": "o1", "a": {"k": 1}}, {"subscription_id": "o2", "a": "} {"}, {"subscription_id": "o3"}]
+    (tmp_path / "odd.json").write_text(json.dumps(odd))
+    beside = '{"subscription_id": "cut", "a": 1\n{"subscription_id": "n1", "a": {"k": {"l": 2}}}, {"subscription_id": "n2", "a": {}}\n{"b'
+    (tmp_path / "beside.json").write_text(beside)
+    (tmp_path / "one.json").write_text('{"subscription_id": "alone"}')
+    (tmp_path / "empty.json").write_text("[]")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        records = json_records(spark, str(tmp_path / "whole.json"))
+        assert records.rdd.getNumPartitions() > 3
+        rows = read_subscriptions(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    ids = sorted(r["subscription_id"] for r in rows if r["subscription_id"])
+    assert ids == sorted([*(f"s{i}" for i in range(400)), *(f"s{i}" for i in range(7)), "h1", "h2", "n1", "n2", "o1", "o2", "o3", "alone"])
+    broken = sorted(r["_rescued_data"] for r in rows if r["_rescued_data"])
+    assert broken[1:] == ['{"b', '{"subscription_id": "cut", "a": 1', '{"subscription_id": , "x"}']
+    assert '"s' in broken[0] and not broken[0].endswith("}")
+    found = {r["subscription_id"]: r for r in rows}
+    assert extra(found["o1"]) == [("a", '{"k":1}')] and extra(found["o2"]) == [("a", "} {")]

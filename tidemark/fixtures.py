@@ -48,7 +48,7 @@ def _channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_bronze(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
     key, value = F.col("event_id"), F.col("value")
     raw = _table(spark, sf_dir, "events")
     signup = F.col("event_type") == "signup"
@@ -81,7 +81,9 @@ def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
         .alias("timestamp"),
-        F.when(version_2, F.lit("v2")).otherwise(F.lit("v1")).alias("schema_version"),
+        F.when(~_every(key, 83), F.when(version_2, F.lit("v2")).otherwise(F.lit("v1"))).alias(
+            "schema_version"
+        ),
         F.when(F.col("copy") == 2, amount + 10).otherwise(amount).alias("amount"),
         F.when(version_2, F.lit("USD")).alias("currency"),
         F.when(
@@ -96,26 +98,42 @@ def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
             "_rescued_data"
         ),
         _ingested(F.col("copy")).alias("_ingest_timestamp"),
+        *([key.alias("_key")] if keep_key else []),
     )
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as NDJSON lines in ``value``; rescued rows are lines cut short."""
-    events = events_bronze(spark, sf_dir).drop("_ingest_timestamp")
-    line = F.to_json(F.struct(*[c for c in events.columns if c != "_rescued_data"]))
-    return events.select(F.coalesce("_rescued_data", line).alias("value"))
+    """The events as NDJSON lines in ``value``; rescued rows are lines cut short.
+
+    Some lines have keys the schema does not know (a text, a nested object), some an
+    earlier schema version under the same key.
+    """
+    events = events_bronze(spark, sf_dir, keep_key=True).drop("_ingest_timestamp")
+    key = F.col("_key")
+    line = F.to_json(F.struct(*[c for c in events.columns if c not in ("_rescued_data", "_key")]))
+    number = (key % 7).cast("string")
+    more = F.concat(
+        F.when(_every(key, 37) & F.col("schema_version").isNotNull(), F.lit('{"schema_version":"v0",')).otherwise(F.lit("{")),
+        F.substr(line, F.lit(2), F.length(line) - 2),
+        F.when(_every(key, 31), F.concat(F.lit(',"campaign":"c'), number, F.lit('"'))).otherwise(F.lit("")),
+        F.when(_every(key, 41), F.concat(F.lit(',"device":{"os":"x","v":'), number, F.lit("}"))).otherwise(F.lit("")),
+        F.lit("}"),
+    )
+    return events.select(F.coalesce("_rescued_data", more).alias("value"))
 
 
-def marketing_spend_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def marketing_spend_bronze(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
     key = F.col("o_orderkey")
-    offset = key % 30
     rows = (
         _table(spark, sf_dir, "orders")
-        .join(_channels(spark, sf_dir), F.col("c_custkey") == F.col("o_custkey"))
-        .filter(~((F.col("channel") == "building") & offset.isin(4, 5, 11)))
+        .join(_channels(spark, sf_dir), F.col("c_custkey") == F.col("o_custkey"), "left")
         .withColumn("copy", _copies((1, _every(key, 50))))
     )
-    day = F.date_add(F.lit(dt.date(2024, 1, 1)), offset.cast("int"))
+    # Spend of one channel on three days stands a day earlier or later, which leaves gaps.
+    offset = key % 30
+    moved = F.when(offset.isin(4, 11), offset - 1).when(offset == 5, offset + 1)
+    shown = F.when(F.col("channel") == "building", F.coalesce(moved, offset)).otherwise(offset)
+    day = F.date_add(F.lit(dt.date(2024, 1, 1)), shown.cast("int"))
     spend = _thousandth(F.col("o_totalprice"))
     return rows.select(
         F.when(_every(key, 103), F.lit(None))
@@ -128,9 +146,24 @@ def marketing_spend_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(spend)
         .alias("spend"),
         _ingested(F.col("copy")).alias("_ingest_timestamp"),
+        *([key.alias("_key")] if keep_key else []),
     )
 
 
+def write_marketing_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The spend as CSV files of three kinds: plain; columns moved; a column added, one missing."""
+    feed = marketing_spend_bronze(spark, sf_dir, keep_key=True)
+    kind = F.col("_key") % 3
+    note = F.concat(F.lit("n, "), (F.col("_key") % 7).cast("string")).alias("note")
+    kinds = [
+        feed.filter((kind == 0) | ((kind == 2) & F.col("spend").isNotNull())).select("date", "channel", "spend"),
+        feed.filter(kind == 1).select("spend", note, "date", "channel"),
+        feed.filter((kind == 2) & F.col("spend").isNull()).select("channel", "date"),
+    ]
+    for rows in kinds:
+        rows.write.mode("append").option("header", True).csv(folder)
+
+
 def subscriptions_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     rows = _table(spark, sf_dir, "orders").withColumn("copy", _copies((1, _every(key, 25))))
@@ -156,6 +189,17 @@ def subscriptions_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_subscription_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The subscriptions as multi-line JSON; some have a nested key, beside some stands a damaged copy."""
+    feed = subscriptions_bronze(spark, sf_dir).drop("_ingest_timestamp")
+    key = F.col("subscription_id").cast("long")
+    referrer = F.when(_every(key, 151), F.struct((key % 5).alias("k")))
+    record = F.to_json(F.struct(*feed.columns, referrer.alias("referrer")), {"pretty": "true"})
+    cut = F.concat(F.lit('{"subscription_id": "'), "subscription_id", F.lit('", "pri'))
+    lines = F.array_compact(F.array(record, F.when(_every(key, 149), cut)))
+    feed.select(F.explode(lines).alias("line")).select(F.concat("line", F.lit(",")).alias("value")).write.text(folder)
+
+
 def user_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     mailbox = F.lower(F.replace("c_name", F.lit("#"), F.lit(".")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     DoubleType,
     StringType,
     StructField,
@@ -54,6 +55,12 @@ EVENTS_BRONZE = StructType(
     ]
 )
 
+# Keys and values of a record that no column took.
+EXTRA_FIELDS = StructField(
+    "_extra_fields",
+    ArrayType(StructType([StructField("key", StringType()), StructField("value", StringType())])),
+)
+
 # Text as in the file; typed in silver.
 MARKETING_FIELDS = StructType(
     [
@@ -78,6 +85,17 @@ SUBSCRIPTION_FIELDS = StructType(
     ]
 )
 
+_RESCUED = StructField("_rescued_data", StringType())
+_STAMP = StructField("_ingest_timestamp", TimestampType())
+
+# The bronze tables as they are stored: they exist, typed and empty, before their first file,
+# and older files are read under these columns.
+BRONZE_TABLES = {
+    "events_bronze": StructType([*EVENT_FIELDS.fields, _RESCUED, EXTRA_FIELDS, _STAMP]),
+    "marketing_spend_bronze": StructType([*MARKETING_FIELDS.fields, _RESCUED, EXTRA_FIELDS, _STAMP]),
+    "subscriptions_bronze": StructType([*SUBSCRIPTION_FIELDS.fields, _RESCUED, EXTRA_FIELDS, _STAMP]),
+}
+
 
 def ensure_columns(df: DataFrame, schema: StructType) -> DataFrame:
     """Add the columns of ``schema`` that ``df`` lacks, as typed nulls."""
