@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.parsing import parse_timestamp
@@ -13,6 +13,7 @@ from tidemark.schemas import EVENT_TYPES, EVENTS_BRONZE, ensure_columns
 
 _TYPE_LIST = ", ".join(f"'{name}'" for name in EVENT_TYPES)
 
+# The rules' names and predicates.
 EVENT_RULES = [
     Rule("event_id_not_null", "event_id IS NOT NULL"),
     Rule("valid_event_type", f"event_type IN ({_TYPE_LIST})"),
@@ -20,6 +21,7 @@ EVENT_RULES = [
     Rule("non_negative_amount", "amount IS NULL OR amount >= 0"),
 ]
 
+# The table's columns, in order.
 EVENTS_SILVER_COLUMNS = [
     "event_id",
     "user_id",
@@ -40,6 +42,7 @@ EVENTS_SILVER_COLUMNS = [
 
 def event_faults() -> Rules:
     """What makes a bronze event unusable, in order of precedence."""
+    # The reasons' names.
     return [
         ("corrupted_json", F.col("_rescued_data").isNotNull()),
         ("null_event_id", F.col("event_id").isNull()),
@@ -62,8 +65,8 @@ def valid_events(bronze: DataFrame) -> DataFrame:
     return ensure_columns(bronze, EVENTS_BRONZE).filter(is_clean(event_faults()))
 
 
-def deduplicate_events(events: DataFrame) -> DataFrame:
-    """One row per event: largest amount, then latest ingest.
+def event_order() -> list[Column]:
+    """Which row of an event comes first: largest amount, then latest ingest.
 
     The other payload columns only break ties, so the outcome does not depend
     on how the data is laid out.
@@ -78,12 +81,14 @@ def deduplicate_events(events: DataFrame) -> DataFrame:
         "refers_to_event_id",
         "acquisition_channel",
     ]
-    return keep_first(
-        events,
-        ["event_id"],
-        [F.desc_nulls_last("amount"), F.desc_nulls_last("_ingest_timestamp")]
-        + [F.asc_nulls_first(name) for name in ties],
-    )
+    return [F.desc_nulls_last("amount"), F.desc_nulls_last("_ingest_timestamp")] + [
+        F.asc_nulls_first(name) for name in ties
+    ]
+
+
+def deduplicate_events(events: DataFrame) -> DataFrame:
+    """One row per event, the first by ``event_order``."""
+    return keep_first(events, ["event_id"], event_order())
 
 
 def normalize_timestamps(events: DataFrame) -> DataFrame:

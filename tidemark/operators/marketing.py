@@ -9,6 +9,7 @@ from tidemark.functions.parsing import parse_date, parse_double
 from tidemark.functions.rules import Rules, first_reason, is_clean
 from tidemark.operators.quality import DROP, Rule, drop_violations
 
+# The rules' names and predicates.
 MARKETING_RULES = [
     Rule("valid_date", "date IS NOT NULL", DROP),
     Rule("valid_channel", "channel IS NOT NULL AND channel != ''", DROP),
@@ -19,6 +20,7 @@ MARKETING_RULES = [
 
 def spend_faults() -> Rules:
     """What makes a spend row with a parsed date unusable, in order of precedence."""
+    # The reasons' names.
     channel, spend = F.col("channel"), parse_double(F.col("spend"))
     return [
         ("missing_date", F.col("date").isNull()),

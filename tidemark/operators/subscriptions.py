@@ -16,6 +16,7 @@ def _sql_list(values: list[str]) -> str:
     return ", ".join(f"'{value}'" for value in values)
 
 
+# The rules' names and predicates.
 SUBSCRIPTION_RULES = [
     Rule("valid_status", f"status IN ({_sql_list(SUBSCRIPTION_STATUSES)})"),
     Rule("valid_plan", f"plan_id IN ({_sql_list(SUBSCRIPTION_PLANS)})"),

@@ -7,22 +7,22 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.operators.events import EVENT_RULES, events_quarantine, events_silver
+from tidemark.operators.events import EVENT_RULES
 from tidemark.operators.marketing import (
     MARKETING_RULES,
     checked_spend,
     marketing_spend_quarantine,
 )
-from tidemark.operators.quality import Rule, drop_violations, observe_rules
+from tidemark.operators.quality import Rule, drop_violations, expectation_report, observe_rules
 from tidemark.operators.subscriptions import SUBSCRIPTION_RULES, checked_subscriptions
 from tidemark.plans.acquisition import cac_by_channel, ltv_cac_ratio
-from tidemark.plans.activity import daily_active_users, weekly_cohort_retention
+from tidemark.plans.activity import weekly_cohort_retention
+from tidemark.plans.incremental import refresh_daily, refresh_events, refresh_ltv
 from tidemark.plans.recurring import SPINE_START, mrr_daily
-from tidemark.plans.revenue import daily_revenue_gross, daily_revenue_net, ltv_per_user
 from tidemark.session import pin_utc
 from tidemark.sources.files import read_subscriptions
 from tidemark.sources.tables import BRONZE, GOLD, SILVER, Warehouse
-from tidemark.streaming.ingest import append_new, stream_events, stream_marketing
+from tidemark.streaming.ingest import ingest_events, ingest_marketing
 
 EXPECTATIONS_SCHEMA = StructType(
     [
@@ -44,23 +44,21 @@ def run_all(
     subscriptions_path: str | None = None,
     subscriptions_multiline: bool = True,
     ingest_ts: dt.datetime | None = None,
+    full_refresh: bool = False,
 ) -> Warehouse:
     """Bring every table under ``out`` up to date with the files in ``src``.
 
-    Events and marketing files are appended incrementally; subscriptions and
-    everything derived are recomputed. Each silver table is stored once and read
-    back by the gold tables. Running it again is safe at any point.
+    Event and marketing files are appended incrementally. Of the events, only the days and
+    users that new rows touch are computed again, unless ``full_refresh`` is set; the tables
+    of subscriptions and spend, and what joins them, are recomputed. Each table is replaced
+    at once, by a version of its own: a run that was cut short can be repeated, and readers
+    see one whole version at any time. A feed without files is an empty table.
     """
     pin_utc(spark)
     tables = Warehouse(spark, out)
 
-    for name, stream in (
-        ("events_bronze", stream_events(spark, src, ingest_ts)),
-        ("marketing_spend_bronze", stream_marketing(spark, src, ingest_ts)),
-    ):
-        append_new(stream, tables.path(BRONZE, name), tables.path("_checkpoints", name))
-    events_bronze = tables.read(BRONZE, "events_bronze")
-    marketing_bronze = tables.read(BRONZE, "marketing_spend_bronze")
+    ingest_events(tables, src, ingest_ts)
+    marketing_bronze = ingest_marketing(tables, src, ingest_ts)
     subscriptions_bronze = tables.save(
         read_subscriptions(
             spark,
@@ -72,14 +70,12 @@ def run_all(
         "subscriptions_bronze",
     )
 
-    report: list[tuple] = []
-    tables.save(events_quarantine(events_bronze), SILVER, "events_quarantine")
+    changes = refresh_events(tables, full_refresh)
+    events = tables.read(SILVER, "events_silver")
+    report = [tuple(row) for row in expectation_report(events, "events_silver", EVENT_RULES).collect()]
     tables.save(
         marketing_spend_quarantine(marketing_bronze), SILVER, "marketing_spend_quarantine"
     )
-    events = _save_checked(
-        tables, events_silver(events_bronze), "events_silver", EVENT_RULES, report
-    )
     spend = _save_checked(
         tables, checked_spend(marketing_bronze), "marketing_spend_silver", MARKETING_RULES, report
     )
@@ -92,11 +88,9 @@ def run_all(
     )
     tables.save(spark.createDataFrame(report, EXPECTATIONS_SCHEMA), SILVER, "expectations")
 
-    tables.save(daily_active_users(events), GOLD, "daily_active_users")
-    tables.save(daily_revenue_gross(events), GOLD, "daily_revenue_gross")
-    tables.save(daily_revenue_net(events), GOLD, "daily_revenue_net")
+    refresh_daily(tables, changes)
+    ltv = refresh_ltv(tables, changes)
     tables.save(weekly_cohort_retention(events), GOLD, "weekly_cohort_retention")
-    ltv = tables.save(ltv_per_user(events), GOLD, "ltv_per_user")
     cac = tables.save(cac_by_channel(events, spend), GOLD, "cac_by_channel")
     tables.save(mrr_daily(subscriptions, as_of, mrr_start), GOLD, "mrr_daily")
     tables.save(ltv_cac_ratio(ltv, spend, cac), GOLD, "ltv_cac_ratio")
