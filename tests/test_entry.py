@@ -44,8 +44,8 @@ def test_plan(spark, sf_dir, name):
     text = plan.toString()
     for operator in ("NestedLoop", "CartesianProduct", "Python", "Arrow", "CollectLimit"):
         assert operator not in text
-    # One task gathers only day totals (the running sum), the counts of a report or the ends of a spine.
-    gathered = {"mrr_daily": 1, "expectation_report": 3, "date_spine": 1}
+    # One task gathers only the counts of a report or the ends of a spine.
+    gathered = {"expectation_report": 3, "date_spine": 1}
     assert text.count("SinglePartition") == gathered.get(name, 0)
 
 

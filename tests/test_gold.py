@@ -1,7 +1,9 @@
 """Hand-made cases of the business tables."""
 
 import datetime as dt
+import random
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from frames import (
@@ -15,7 +17,7 @@ from frames import (
 )
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import money_sum
+from tidemark.functions.money import exact_sums
 from tidemark.plans.acquisition import cac_by_channel, ltv_cac_ratio
 from tidemark.plans.activity import daily_active_users, weekly_cohort_retention
 from tidemark.plans.recurring import mrr_daily
@@ -257,7 +259,7 @@ def test_mrr_first_and_last_day_count(spark):
 )
 def test_mrr_ranges(spark, row, days):
     found = mrr_of(subscriptions_silver(spark, row), 8, 12)
-    assert [day for day, values in found.items() if values == (10.0, 1, 1)] == list(days)
+    assert sorted(day for day, values in found.items() if values == (10.0, 1, 1)) == list(days)
     assert set(found) == set(range(8, 13))
 
 
@@ -283,14 +285,66 @@ def test_mrr_leaves_no_residue(spark):
     assert found[11][0] == 0.1 and found[12][0] is None and found[2][0] == 1.0
 
 
-def test_money_sums_are_exact(spark):
-    amounts = [0.1, 0.2, 999_999_999.999999, 1_234_567_890.12, -0.3, 0.000001, -987_654.321]
-    df = spark.createDataFrame([(a,) for a in amounts], "a double").repartition(3)
-    ordinary = [a for a in amounts if abs(a) < 1e9]
-    exact = float(sum(Decimal(str(a)) for a in ordinary))
-    assert df.filter("abs(a) < 1e9").select(money_sum(F.col("a"))).first()[0] == exact
-    assert df.select(money_sum(F.col("a"))).first()[0] == exact + 1_234_567_890.12
-    assert df.filter("a IS NULL").select(money_sum(F.col("a"))).first()[0] is None
+def exact_sum(spark, amounts, partitions=3):
+    rows = spark.createDataFrame([(1, a) for a in amounts], "k int, a double").repartition(partitions)
+    found = exact_sums(rows, ["k"], F.col("a"), {"total": None}, {"rows": (F.count("*"), F.sum)}).collect()
+    assert [r["rows"] for r in found] == ([len(amounts)] if amounts else [])
+    return found[0]["total"] if found else None
+
+
+def test_ordinary_money_is_added_as_it_is_written(spark):
+    amounts = [0.1, 0.2, 999_999_999.999999, -0.3, 0.000001, -987_654.321] * 7
+    assert exact_sum(spark, amounts) == float(sum(Decimal(str(a)) for a in amounts))
+    assert exact_sum(spark, [0.1, None, 0.2]) == 0.3
+    assert exact_sum(spark, [None]) is None and exact_sum(spark, [0.0, -0.0]) == 0.0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sums_of_any_doubles_are_exact(spark, seed):
+    rng = random.Random(seed)
+    wide = [rng.choice([-1, 1]) * rng.random() * 2.0 ** rng.randint(*rng.choice([(-1074, 1000), (28, 110), (-60, 0)])) for _ in range(200)]
+    amounts = wide + [-x for x in rng.sample(wide, 150)] + [5e-324, 1e300, -1e300, 2.0**1000, 8.0, 1 / 3, 1e9, 2.0**53 + 2]
+    rng.shuffle(amounts)
+    binary = [a for a in amounts if not (abs(a) < 1e9 and a == round(a, 6))]
+    expected = float(sum(map(Fraction, binary), Fraction(0))) + float(sum(Decimal(str(a)) for a in amounts if a not in binary))
+    assert exact_sum(spark, amounts) == expected
+    assert exact_sum(spark, amounts[::-1], 1) == exact_sum(spark, amounts, 7) == expected
+
+
+def test_sums_at_every_size(spark):
+    assert exact_sum(spark, [9e31, 9e31]) == 1.8e32
+    assert exact_sum(spark, [1e9 + 0.01, 1e300, 1e32, -1e300, -1e32]) == 1e9 + 0.01
+    assert exact_sum(spark, [1e308, 1e308]) == float("inf")
+    assert exact_sum(spark, [1e308, 1e308, -1e308]) == 1e308
+    inf, nan = float("inf"), float("nan")
+    assert exact_sum(spark, [1.0, inf]) == inf and exact_sum(spark, [-inf, 1e300]) == -inf
+    assert all(x != x for x in (exact_sum(spark, [inf, -inf]), exact_sum(spark, [nan, 1.0])))
+    powers = [2.0**n for n in range(-1074, 1024)]  # each is added to its own bin
+    assert exact_sum(spark, powers + [-x for x in powers if x != 4.0]) == 4.0
+
+
+def test_revenue_of_large_and_uneven_amounts(spark):
+    amounts = [1e10 + 0.05, 1 / 3, 7e25, 12.5, 1 / 3]
+    rows = [{"amount": a, "user_id": f"u{i % 2}"} for i, a in enumerate(amounts)]
+    rows += [{"amount": 9e31, "user_id": "u0", "event_type": "refund"}]
+    events = events_silver(spark, *rows)
+    (gross,) = daily_revenue_gross(events).collect()
+    expected = float(sum(map(Fraction, [a for a in amounts if a != 12.5])) + Fraction(12.5))
+    assert (gross["gross_revenue"], gross["purchase_count"], gross["paying_users"]) == (expected, 5, 2)
+    (net,) = daily_revenue_net(events).collect()
+    assert (net["gross_revenue"], net["total_refunds"]) == (expected, 9e31)
+    users = by(ltv_per_user(events), "user_id")
+    assert users["u1"]["total_purchases"] == 1 / 3 + 12.5 and users["u1"]["purchase_count"] == 2
+    assert users["u0"]["total_refunds"] == 9e31 and users["u0"]["purchase_count"] == 3
+
+
+def test_mrr_of_prices_beyond_decimals(spark):
+    rows = [{"price": p, "start_date": jan(3), "end_date": jan(d)} for p, d in ((9e31, 5), (9e31, 4), (1e300, 4), (1 / 3, 6))]
+    found = mrr_of(subscriptions_silver(spark, *rows), 1, 8)
+    shown = {day: found[day][0] for day in found}
+    assert shown == {1: None, 2: None, 3: 1e300, 4: 1e300, 5: 9e31, 6: 1 / 3, 7: None, 8: None}
+    twice = [{"price": 9e31, "start_date": jan(1), "end_date": jan(1)}] * 2
+    assert mrr_of(subscriptions_silver(spark, *twice), 1, 2)[1][0] == 1.8e32
 
 
 def test_mrr_with_prices_that_are_no_prices(spark):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import money_sum
+from tidemark.functions.money import exact_sums
 
 #: From this ratio on a channel is healthy (fixed value).
 HEALTHY = 3.0
@@ -26,10 +26,13 @@ def cac_by_channel(events: DataFrame, spend: DataFrame) -> DataFrame:
         F.col("event_date").alias("date"), F.col("acquisition_channel").alias("channel"), "user_id"
     )
     rows = spend.select("date", "channel", "spend").unionByName(signups, allowMissingColumns=True)
-    totals = rows.groupBy("date", "channel").agg(
-        F.coalesce(money_sum(F.col("spend")), F.lit(0.0)).alias("total_spend"),
-        F.countDistinct("user_id").alias("new_customers"),
-    )
+    totals = exact_sums(
+        rows,
+        ["date", "channel"],
+        F.col("spend"),
+        {"total_spend": None},
+        {"new_customers": (F.countDistinct("user_id"), F.sum)},  # signups spend nothing: one bin has them all
+    ).withColumn("total_spend", F.coalesce("total_spend", F.lit(0.0)))
     per_customer = F.round(F.try_divide("total_spend", "new_customers"), 2)
     return totals.withColumn("cac", F.when(F.col("total_spend") > 0, per_customer))
 
@@ -46,19 +49,19 @@ def ltv_cac_ratio(ltv: DataFrame, spend: DataFrame, cac: DataFrame) -> DataFrame
     rows = users.unionByName(acquired, allowMissingColumns=True).unionByName(
         spend.select("channel", "spend"), allowMissingColumns=True
     )
-    totals = (
-        rows.filter(F.col("channel").isNotNull())
-        .groupBy("channel")
-        .agg(
-            F.count("user").alias("users"),
-            F.count("user_id").alias("total_customers"),
-            money_sum(F.col("ltv")).alias("total_ltv"),
-            F.count("ltv").alias("values"),
-            F.sum("acquired").alias("acquired"),
-            money_sum(F.col("spend")).alias("spent"),
-        )
-        .filter(F.col("users") > 0)
-    )
+    is_user = F.coalesce(F.col("user"), F.lit(False))
+    totals = exact_sums(
+        rows.filter(F.col("channel").isNotNull()),
+        ["channel"],
+        F.coalesce("ltv", "spend"),
+        {"total_ltv": is_user, "spent": ~is_user},
+        {
+            "users": (F.count("user"), F.sum),
+            "total_customers": (F.count("user_id"), F.sum),
+            "values": (F.count("ltv"), F.sum),
+            "acquired": (F.sum("acquired"), F.sum),
+        },
+    ).filter(F.col("users") > 0)
     average_value = F.try_divide("total_ltv", "values")
     shown_spend = F.when(F.col("acquired").isNotNull(), F.col("spent"))
     average_cost = F.round(F.try_divide("total_spend", "acquired"), 2)

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import from_units, in_units, is_ordinary, sum_units
+from tidemark.functions.money import PARTS, bin_of, parts_of, total
 from tidemark.sources.tables import date_spine
 
 SPINE_START = dt.date(2020, 1, 1)
-# Prices of a billion and more, which no bigint of millionths should hold.
-LARGE = "decimal(38,6)"
-# Prices that no such decimal holds are added as doubles of this unit, which cannot overflow.
-HUGE_UNIT = 1e20
+_PARTS = tuple(f"_{name}" for name in PARTS)
+#: The bin of counts; no exponent.
+_COUNTS = -5000
 
 
 def mrr_daily(
@@ -28,10 +27,9 @@ def mrr_daily(
     Instead of matching days with subscriptions, each subscription adds its
     price on its first day and takes it back on the day after its last; running
     sums over the days give the totals. The work is linear in subscriptions, and
-    only day totals are gathered in one place. Prices are summed as whole millionths,
-    so that what was added is taken back exactly. Prices that are infinite or no number, or
-    have more than 32 digits, are counted apart: a day shows them while they are active, as a
-    sum of its prices would, and the day after is exact again.
+    only day totals are gathered in one place. Prices are summed exactly, in bins, so that
+    what was added is taken back without a trace, whatever its size; prices that are infinite
+    or no number show in the days they are active, as they would in a sum of prices.
 
     Users may hold overlapping subscriptions. Per user and first day only the
     longest reach matters, so rows are first combined to that; each then adds
@@ -57,25 +55,17 @@ def mrr_daily(
             F.struct(F.date_add("last", 1).alias("date"), F.lit(-1).alias("sign")),
         )
     )
-    price, sign = F.col("price"), F.col("edge.sign")
-    money = F.when(is_ordinary(price), in_units(price))
-    large_money = F.when(~is_ordinary(price), price.try_cast(LARGE))
-    infinity = F.lit(float("inf"))
-    kinds = {
-        "not_a_number": F.isnan(price),
-        "plus_infinite": price == infinity,
-        "minus_infinite": price == -infinity,
-        "huge": ~is_ordinary(price) & price.try_cast(LARGE).isNull() & ~F.isnan(price) & (F.abs(price) < infinity),
-    }
-    by_subscription = active.select("price", "subscription_id", edges.alias("edge")).select(
-        "edge.date",
-        (money * sign).alias("money"),
-        (large_money * sign).alias("large_money"),
-        F.when(kinds["huge"], price / HUGE_UNIT * sign).alias("huge_money"),
-        F.when(price.isNotNull(), sign).otherwise(0).alias("priced"),
-        *[F.when(is_kind, sign).otherwise(0).alias(name) for name, is_kind in kinds.items()],
-        F.when(F.col("subscription_id").isNotNull(), sign).otherwise(0).alias("subscriptions"),
-        F.lit(0).alias("users"),
+    # Each edge is a row for its price, in the price's bin, and one for what it counts.
+    price, sign = F.col("price"), F.col("edge.sign").cast("bigint")
+    nothing = F.lit(0).cast("bigint")
+    counted = lambda column: F.when(F.col(column).isNotNull(), sign).otherwise(nothing)
+    money = F.struct(bin_of(price).alias("_bin"), *[(part * sign).alias(f"_{name}") for name, part in parts_of(price).items()])
+    counts = _counts(counted("price"), counted("subscription_id"), nothing)
+    by_subscription = (
+        active.select("price", "subscription_id", edges.alias("edge"))
+        .select("edge.date", F.explode(F.array(money, counts)).alias("x"))
+        .filter(F.col("x._p0").isNotNull())
+        .select("date", "x.*")
     )
 
     spans = (
@@ -89,54 +79,37 @@ def mrr_daily(
     new_days = spans.withColumn(
         "first", F.greatest("first", F.date_add(F.max("last").over(earlier), 1))
     ).filter(F.col("first") <= F.col("last"))
-    by_user = new_days.select(edges.alias("edge")).select(
-        "edge.date",
-        *[F.lit(0).alias(name) for name in ("priced", *kinds, "subscriptions")],
-        sign.alias("users"),
-    )
-
-    counts = ["priced", *kinds, "subscriptions", "users"]
-    spine = date_spine(spark, start, as_of).select(
-        F.col("spine_date").alias("date"),
-        *[F.lit(0).alias(name) for name in counts],
-    )
+    by_user = new_days.select(edges.alias("edge")).select("edge.date", _counts(nothing, nothing, sign).alias("x"))
+    spine = date_spine(spark, start, as_of).select(F.col("spine_date").alias("date"), _counts(nothing, nothing, nothing).alias("x"))
     days = (
-        by_subscription.unionByName(by_user, allowMissingColumns=True)
-        .unionByName(spine, allowMissingColumns=True)
-        .groupBy("date")
-        .agg(
-            sum_units(F.col("money")).alias("money"),
-            F.sum("large_money").alias("large_money"),
-            F.sum("huge_money").alias("huge_money"),
-            *[F.sum(name).alias(name) for name in counts],
-        )
-    )
-    # One row per day: the only unpartitioned window, as long as the spine.
-    running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.coalesce(from_units(F.col("money")), F.lit(0.0)) + F.coalesce(
-        F.col("large_money").cast("double"), F.lit(0.0)
+        by_subscription.unionByName(by_user.select("date", "x.*"))
+        .unionByName(spine.select("date", "x.*"))
+        .groupBy("date", "_bin")
+        .agg(*[F.sum(name).alias(name) for name in _PARTS])
     )
-    total += F.when(F.col("huge") > 0, F.col("huge_money") * HUGE_UNIT).otherwise(0.0)
-    no_number = (F.col("not_a_number") > 0) | (
-        (F.col("plus_infinite") > 0) & (F.col("minus_infinite") > 0)
-    )
-    shown = (
-        F.when(no_number, F.lit(float("nan")))
-        .when(F.col("plus_infinite") > 0, infinity)
-        .when(F.col("minus_infinite") > 0, -infinity)
-        .otherwise(total)
-    )
-    summed = ("money", "large_money", "huge_money", *counts)
+    # What each bin holds on each day: running sums over a row for each day it changes.
+    of_bin = Window.partitionBy("_bin").orderBy("date")
+    until_now = of_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = days.select(
+        "_bin",
+        "date",
+        F.date_sub(F.lead("date", 1, as_of + dt.timedelta(days=1)).over(of_bin), 1).alias("last"),
+        *[F.sum(name).over(until_now).alias(name) for name in _PARTS],
+    ).filter(F.col("date") <= F.col("last"))
+    daily = held.select(F.explode(F.sequence("date", "last", F.expr("INTERVAL 1 DAY"))).alias("date"), "_bin", *_PARTS)
+    is_count = F.coalesce(F.col("_bin") == _COUNTS, F.lit(False))
+    of_money = daily.withColumns({f"_money{name}": F.when(~is_count, F.col(name)) for name in _PARTS})
+    names = ("priced", "active_subscriptions", "subscribed_users")
     return (
-        days.select(
-            "date",
-            *[F.sum(c).over(running).alias(c) for c in summed],
-        )
-        .filter(F.col("date") <= high)
-        .select(
-            "date",
-            F.when(F.col("priced") > 0, shown).alias("mrr"),
-            F.col("subscriptions").alias("active_subscriptions"),
-            F.col("users").alias("subscribed_users"),
+        of_money.groupBy("date")
+        .agg(
+            total("_money_").alias("mrr"),
+            *[F.max(F.when(is_count, F.col(part))).alias(name) for name, part in zip(names, _PARTS)],
         )
+        .select("date", F.when(F.col("priced") > 0, F.col("mrr")).alias("mrr"), *names[1:])
     )
+
+
+def _counts(*numbers: Column) -> Column:
+    """What an edge adds to the priced, to all subscriptions and to the users, in a bin of their own."""
+    return F.struct(F.lit(_COUNTS).alias("_bin"), *[n.alias(name) for n, name in zip(numbers, _PARTS)])

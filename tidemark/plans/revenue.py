@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import money_sum
+from tidemark.functions.money import exact_sums
 
 
 def is_sale() -> Column:
@@ -19,14 +19,16 @@ def is_refund() -> Column:
 
 def daily_revenue_gross(events: DataFrame) -> DataFrame:
     """Sales per day; sales without a user count, but not as a paying user."""
-    return (
-        events.filter(is_sale())
-        .groupBy("event_date")
-        .agg(
-            money_sum(F.col("amount")).alias("gross_revenue"),
-            F.count("event_id").alias("purchase_count"),
-            F.countDistinct("user_id").alias("paying_users"),
-        )
+    return exact_sums(
+        events.filter(is_sale()).select("event_date", "event_id", "user_id", "amount"),
+        ["event_date"],
+        F.col("amount"),
+        {"gross_revenue": None},
+        {
+            "purchase_count": (F.count("event_id"), F.sum),
+            "paying_users": (F.countDistinct("user_id"), F.sum),
+        },
+        apart=True,
     )
 
 
@@ -38,11 +40,12 @@ def daily_revenue_net(events: DataFrame) -> DataFrame:
     """
     refunded = F.when(F.col("event_date").isNotNull(), F.col("_refunds"))
     return (
-        events.filter(is_sale() | is_refund())
-        .groupBy("event_date")
-        .agg(
-            money_sum(F.when(is_sale(), F.col("amount"))).alias("gross_revenue"),
-            money_sum(F.when(is_refund(), F.abs("amount"))).alias("_refunds"),
+        exact_sums(
+            events.filter(is_sale() | is_refund()).select("event_date", "event_type", "amount"),
+            ["event_date"],
+            F.when(is_refund(), F.abs("amount")).otherwise(F.col("amount")),
+            {"gross_revenue": is_sale(), "_refunds": is_refund()},
+            {},
         )
         .filter(F.col("gross_revenue").isNotNull())
         .select(
@@ -61,25 +64,34 @@ def ltv_per_user(events: DataFrame) -> DataFrame:
     event id). ``purchase_count`` is null, not zero, for users who never bought.
 
     A text can't live in a hash aggregate, so the channel is found apart, over the few
-    columns of signups, and every event passes through hash aggregates only. Both sides are
+    columns of signups, and every event passes through a hash aggregate only. Both sides are
     then hashed by user already, and one row each.
     """
     known = events.filter(~F.col("_user_id_missing"))
-    sale, refund = F.when(is_sale(), F.col("amount")), F.when(is_refund(), F.abs("amount"))
     earliest = F.struct(F.col("_timestamp_utc").isNull(), "_timestamp_utc", "event_id")
     channels = (
         known.filter((F.col("event_type") == "signup") & F.col("acquisition_channel").isNotNull())
         .groupBy("user_id")
         .agg(F.min_by("acquisition_channel", earliest).alias("acquisition_channel"))
     )
+    totals = exact_sums(
+        known.select("user_id", "event_type", "amount", "_timestamp_utc"),
+        ["user_id"],
+        F.when(is_refund(), F.abs("amount")).when(is_sale(), F.col("amount")),
+        {"total_purchases": is_sale(), "total_refunds": is_refund()},
+        {
+            "first_seen": (F.min("_timestamp_utc"), F.min),
+            "last_seen": (F.max("_timestamp_utc"), F.max),
+            "purchase_count": (F.count_if(is_sale()), F.sum),
+        },
+    )
     return (
-        known.groupBy("user_id")
-        .agg(
-            F.min("_timestamp_utc").alias("first_seen"),
-            F.max("_timestamp_utc").alias("last_seen"),
-            F.nullif(F.count_if(is_sale()), F.lit(0)).alias("purchase_count"),
-            F.coalesce(money_sum(sale), F.lit(0.0)).alias("total_purchases"),
-            F.coalesce(money_sum(refund), F.lit(0.0)).alias("total_refunds"),
+        totals.withColumns(
+            {
+                "purchase_count": F.nullif("purchase_count", F.lit(0)),
+                "total_purchases": F.coalesce("total_purchases", F.lit(0.0)),
+                "total_refunds": F.coalesce("total_refunds", F.lit(0.0)),
+            }
         )
         .join(channels, "user_id", "left")
         .select(
