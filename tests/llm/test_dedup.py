@@ -4,8 +4,10 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from tidemark.llm import common
 from tidemark.llm.components import components
 from tidemark.llm.line_dedup import remove_repeated_lines
 from tidemark.llm.minmax_dedup import drop_near_duplicates, near_duplicates
@@ -167,3 +169,18 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 120)] + [(7, 7)]
     got = {r.vertex: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 if i <= 40 else 100 for i in [*range(41), *range(100, 120)]}
+
+
+def test_rolling_hashes_and_least_of_runs():
+    rng = np.random.default_rng(0)
+    values = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    values[100:130] = values[40:70]
+    for length in (1, 2, 6, 15, 20, 199, 200, 201):
+        for family in (0, 1):
+            runs = common.rolling_hashes(values, length, family)
+            assert len(runs) == max(0, 201 - length)
+            same = {(i, j) for i in range(len(runs)) for j in range(i) if runs[i] == runs[j]}
+            equal = {(i, j) for i in range(len(runs)) for j in range(i) if np.array_equal(values[i : i + length], values[j : j + length])}
+            assert same == equal
+        least = common.least_of_runs(values, length)
+        assert least.tolist() == [int(values[i : i + length].min()) for i in range(max(0, 201 - length))]

@@ -177,3 +177,37 @@ def run_hashes(hashes: np.ndarray, length: int, family: int = 0) -> np.ndarray:
     for k in range(length):
         total += hashes[k : k + n] * _ODD[64 * family + k]
     return mix(total)
+
+
+_ROLL = _ODD[4001:4003]
+_ROLL_BACK = np.array([pow(int(x), -1, 1 << 64) for x in _ROLL], np.uint64)
+
+
+def rolling_hashes(hashes: np.ndarray, length: int, family: int = 0) -> np.ndarray:
+    """As ``run_hashes``, in a few passes whatever the length: differences of prefix sums.
+
+    The values must be hashes themselves. Families 0 and 1 are independent.
+    """
+    n = len(hashes) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    power = np.full(len(hashes), _ROLL[family])
+    power[0] = 1
+    sums = np.cumsum(hashes * np.cumprod(power))
+    runs = sums[length - 1 :].copy()
+    runs[1:] -= sums[: n - 1]
+    back = np.full(n, _ROLL_BACK[family])
+    back[0] = 1
+    return mix(runs * np.cumprod(back))
+
+
+def least_of_runs(values: np.ndarray, length: int) -> np.ndarray:
+    """The least of each run of ``length`` values, by doubling."""
+    n = len(values) - length + 1
+    if n <= 0:
+        return values[:0]
+    reach = 1
+    while 2 * reach <= length:
+        values = np.minimum(values[:-reach], values[reach:])
+        reach *= 2
+    return np.minimum(values[:n], values[length - reach : length - reach + n])
