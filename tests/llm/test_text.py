@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 
@@ -138,7 +139,7 @@ def test_state_in_a_name_cuts_no_article():
         assert main_text(page) == "First, of the article, as it is. Second, with more, and more.", attributes
 
 
-    long = " ".join(["a word, and more"] * 60)
+    long = " ".join(["a word, and more"] * 60)  # nothing else is left: the outermost stays
     assert main_text(f'<div class="left-sidebar"><p>{long}</p><div class="sidebar">Side</div></div>') == long
     assert main_text('<p>Short.</p><div class="ad">An advert, longer than the text.</div>') == "Short."
 
@@ -153,6 +154,82 @@ def test_cut_elements_end_as_others_do():
     assert main_text(f"<article><p>As shown.</p><ul>{links}</ul></article>") == "As shown. Source 0 Source 1 Source 2 Source 3"
 
 
+RUNNING = "Running text, of the article, with commas, as it goes on, and on, and on."
+
+
+def test_parts_beside_the_best_container_stay():
+    big = "".join(f"<p>{RUNNING}</p>" for _ in range(5))
+    whole = " ".join([RUNNING] * 5)
+    for part, text in (
+        ("<ul><li>One<li>Two</ul>", "One Two"),
+        ("<table><tr><td>A<td>B</table>", "A B"),
+        ("<figure><figcaption>Shown</figcaption></figure>", "Shown"),
+        ("<dl><dt>Term<dd>Meaning</dl>", "Term Meaning"),
+        ("Loose <b>text</b> here.", "Loose text here."),
+        ("<math><mi>x</mi></math>", "x"),
+    ):
+        assert main_text(f"<body><div><div>{big}</div>{part}</div></body>") == f"{whole} {text}", part
+        assert main_text(f"<body><div><div>{big}</div>{part}<div>{big}</div></div></body>") == f"{whole} {text} {whole}", part
+    small = "<div><p>Short.</p></div>"
+    assert main_text(f"<div><div>{big}</div>{small}<div>{big}</div></div>") == f"{whole} Short. {whole}"
+    links = "<ul><li><a href=1>One</a><li><a href=2>Two</a></ul>"
+    assert main_text(f"<div><div>{big}</div>{links}<div>{big}</div></div>") == f"{whole} {whole}"
+
+
+def test_names_inside_an_article_cut_what_is_nothing_else():
+    names = "legal related-work social-contract search-algorithm tag table-header notice toc reply alert-level"
+    for name in names.split():
+        for times in (1, 40):  # whatever its size
+            text = " ".join([RUNNING] * times)
+            for shell in ("<main>{}</main>", "<article>{}</article>", '<div class="content">{}</div>'):
+                page = shell.format(f'<p>{RUNNING}</p><section class="{name}"><p>{text}</p></section>')
+                assert main_text(f"<body>{page}</body>") == f"{RUNNING} {text}", (name, times, shell)
+    for name in ("ad", "comments", "comment-list", "share-buttons", "social-share", "sidebar", "newsletter", "cookie-bar"):
+        page = f'<article><p>{RUNNING}</p><div class="{name}"><p>{RUNNING} {RUNNING}</p></div></article>'
+        assert main_text(page) == RUNNING, name
+    for name in ("related-posts", "site-footer", "nav-links", "ad-slot-3", "search-form", "social-links", "cookie-notice"):
+        page = f'<div><div class="{name}"><p>{RUNNING} {RUNNING}</p></div><div><p>{RUNNING}</p></div></div>'
+        assert main_text(page) == RUNNING, name
+
+
+class Plain(HTMLParser):
+    """What the given pages say their article is, by a parser of its own: the text of <article>."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.blocks, self.run, self.depth, self.off = [], [], 0, 0
+        self.feed(page)
+        self.end()
+
+    def end(self):
+        block = " ".join("".join(self.run).split())
+        self.blocks += [block] if block else []
+        self.run = []
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.off += tag in ("script", "style", "form", "nav", "footer", "aside")
+        if tag not in ("b", "a", "i", "em", "span", "strong"):
+            self.end()
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "a", "i", "em", "span", "strong"):
+            self.end()
+        self.depth -= tag == "article"
+        self.off -= tag in ("script", "style", "form", "nav", "footer", "aside")
+
+    def handle_data(self, data):
+        if self.depth and not self.off:
+            self.run.append(data)
+
+
+def test_pages_as_a_parser_of_its_own(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    expected = {r.page_id: " ".join(Plain(r.html or "").blocks) for r in pages.collect()}
+    found = {r.page_id: r.text for r in extract_text(pages).collect()}
+    assert found == expected and all(found.values())
+
+
 def test_html_of_awkward_rows(spark):
     rows = [(1, "u", None, 5), (1, "u", None, 5), (None, None, "<p>t", 5), (3, "v", "", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")

@@ -2,10 +2,11 @@
 
 Each paragraph earns points for length and commas and passes them to its ancestors, in
 full to the parent and ever less above. A container's points are discounted by its link
-density; the best container is the article, and siblings that score alike, or are
-paragraphs of running text, are kept with it. Elements that are no article by tag, role
+density; the best container is the article, and siblings that score alike are kept with
+it, and so is what stands between them. Elements that are no article by tag, role
 or name (menus, sidebars, notices, adverts, forms, comments) are left out before; they end
-where any element ends. Containers whose name or size speaks for them are left to the points.
+where any element ends. Inside what is an article by tag or name, only names that are nothing
+else count. No rule looks at the size of a page or an element alone.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Their content is no markup.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 NEVER = RAW | frozenset(
-    "head nav footer aside form button select option noscript template svg canvas object audio video map dialog menu math".split()
+    "head nav footer aside form button select option noscript template svg canvas object audio video map dialog menu".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small"
@@ -64,8 +65,18 @@ LIKELY = re.compile(r"article|body|content|entry|main|post|story|text", re.IGNOR
 LIKELY_HEADS = frozenset("article content entry main post story".split())
 STATE = frozenset("has with without no not is tag category format type status show hide".split())
 STATE_ENDS = frozenset("open closed enabled disabled active on off".split())
-#: Characters, without white space, from which a container can be an article whatever its name.
-LARGE = 500
+#: Parts that add nothing to a name: with others than these, it names a subject (related-work, table-header).
+GENERIC = frozenset(
+    "area articles bar block blog bottom box button buttons container entries form global group icons inner items left"
+    " links list outer page panel pane posts primary right row secondary section site slot stories top wrap wrapper zone".split()
+)
+#: Whole names that are no article wherever they stand.
+NEVER_NAMED = re.compile(
+    r"ads?|advert\w*|adsense|sponsor\w*|promo|comments?|comments?[_-](list|section|area|form)|disqus\w*|respond|"
+    r"(social[_-])?(share|sharing)([_-](bar|box|buttons?|links|list))?|sidebar|navigation|navbar|breadcrumbs?|"
+    r"pagination|newsletter|cookie[_-]\w+",
+    re.IGNORECASE,
+)
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split()
 )
@@ -153,41 +164,53 @@ def parse(page: str) -> Node:
 
 
 def _unlikely(name: str) -> tuple[bool, bool]:
-    """Whether a whole word of class or id, or its first or last part, names no article; or one.
+    """Whether a word of class or id says that this is no article; or that it is one.
 
-    ``has-sidebar``, ``comments-open`` and ``tag-politics`` tell the state of what they stand on.
+    ``has-sidebar``, ``comments-open`` and ``tag-politics`` tell the state of what they stand
+    on, ``related-work`` and ``table-header`` a subject.
     """
     against = rescued = False
     for token in name.lower().split():
         parts = [x for x in re.split("[_-]+", token) if x]
         if not parts or len(parts) > 1 and (parts[0] in STATE or parts[-1] in STATE_ENDS):
             continue
-        if UNLIKELY.fullmatch(parts[0]) or UNLIKELY.fullmatch(parts[-1]):
+        telling = [x for x in parts if x not in GENERIC and not x.isdigit()]
+        if telling and all(map(UNLIKELY.fullmatch, telling)):
             against = True
         elif parts[0] in LIKELY_HEADS or parts[-1] in LIKELY_HEADS:
             rescued = True
     return against, rescued
 
 
-def _cut_by_name(order: list[Node]) -> bool:
+def _cut_by_name(root: Node, order: list[Node]) -> bool:
     """Mark what is no article by name; whether anything was marked.
 
-    Containers with few links that also bear an article's name, or hold half of the page's
-    text and much of it, are left to the points.
+    What also bears an article's name and has few links is left to the points, and what is in
+    it counts as inside an article. Where nothing would be left, the outermost elements stay.
     """
-    whole, found = order[-1].chars, False
-    for node in order:
+    marked = []
+    for node in reversed(order):  # parents first
+        above = node.parent
+        node.inside |= above is not None and above.inside
         if not node.name or node.tag in ("article", "main") or node.tag in HEADING:
             continue
         against, rescued = _unlikely(node.name)
-        if not against:
-            continue
-        if node.tag in CONTAINER and node.link_density() < 0.5 and (
-            rescued or node.chars >= max(LARGE, whole / 2)
-        ):
+        if node.inside and not (above and above.inside and against):
             continue
-        node.cut = found = True
-    return found
+        if above and above.inside:
+            against = any(map(NEVER_NAMED.fullmatch, node.name.split()))
+        if node.tag in CONTAINER and rescued and node.link_density() < 0.5:
+            node.inside = True
+        elif against:
+            node.cut = True
+            marked.append(node)
+    if marked and not _measure(root)[-1].chars:
+        for node in reversed(marked):  # the outermost last, so that those inside see them cut
+            above = node.parent
+            while above and not above.cut:
+                above = above.parent
+            node.cut = above is not None or node.tag not in CONTAINER
+    return bool(marked)
 
 
 def _after_raw(page: str, tag: str, at: int) -> int:
@@ -269,26 +292,46 @@ def main_text(page: str) -> str:
     """The article's blocks in page order, joined by one space."""
     root = parse(page)
     order = _measure(root)
-    if _cut_by_name(order):
+    if _cut_by_name(root, order):
         order = _measure(root)
     _score(order)
     candidates = [n for n in order if n.tag in CONTAINER and n.points > 0]
     if not candidates:
         return " ".join(_blocks([root]))
     best = max(reversed(candidates), key=lambda n: n.points)  # of equals the outermost
-    chosen = [best]
-    if best.parent:
-        enough = max(2.0, best.points * 0.2)
-        chosen = [n for n in best.parent.parts if isinstance(n, Node) and not n.cut and (n is best or _belongs(n, best, enough))]
-    return " ".join(_blocks(chosen))
+    return " ".join(_blocks(_with_siblings(best)))
+
+
+def _with_siblings(best: Node) -> list[Node | str]:
+    """The best container and what around it is of the article.
+
+    Between the first and the last part that score alike all stays but what is mostly links.
+    Next to them stay loose text, lists, tables, figures and paragraphs, unless the container
+    is an article by tag, whose end says where it ends.
+    """
+    if not best.parent:
+        return [best]
+    parts = [p for p in best.parent.parts if isinstance(p, str) or not p.cut]
+    enough = max(2.0, best.points * 0.2)
+    alike = [i for i, p in enumerate(parts) if p is best or isinstance(p, Node) and _alike(p, best, enough)]
+    first, last = alike[0], alike[-1]
+    if best.tag not in ("article", "main"):
+        while first and _adjoins(parts[first - 1]):
+            first -= 1
+        while last + 1 < len(parts) and _adjoins(parts[last + 1]):
+            last += 1
+    return [p for i, p in enumerate(parts[first : last + 1], first) if i in alike or isinstance(p, str) or p.tag in INLINE or p.link_density() < 0.5]
+
+
+def _alike(node: Node, best: Node, enough: float) -> bool:
+    """Whether a container scores like the best; a common name counts for a part of the score."""
+    return node.tag in CONTAINER and node.points + (best.points * 0.2 if node.name and node.name == best.name else 0) >= enough
 
 
-def _belongs(node: Node, best: Node, enough: float) -> bool:
-    if node.tag in CONTAINER:
-        return node.points + (best.points * 0.2 if node.name and node.name == best.name else 0) >= enough
-    if node.tag in HEADING:
-        return node.link_density() < 0.3 and best.tag not in ("article", "main")
-    return node.tag in PARAGRAPH and node.chars > 0 and node.link_density() < 0.25 and best.tag not in ("article", "main")
+def _adjoins(part: Node | str) -> bool:
+    if isinstance(part, str) or part.tag in INLINE or part.tag in VOID:
+        return True
+    return (part.tag in PARAGRAPH or part.tag not in CONTAINER) and part.link_density() < 0.3
 
 
 def _blocks(nodes: list[Node]) -> Iterator[str]:
@@ -319,7 +362,8 @@ def extract_text(
     trimmed and joined by one space. A null or empty page, or one without text, gives "".
     Broken markup is read as far as it goes: open elements end with the page, stray end tags
     and lone "<" change nothing. Null ids and urls stay null; repeated rows give repeated
-    results; other columns don't matter. No shuffle.
+    results; a very long page is read whole; an empty table gives an empty one; other columns
+    don't matter. No shuffle.
     """
 
     def one(page_id: int | None, url: str | None, page: str) -> Iterator[tuple]:
