@@ -6,7 +6,11 @@ Windows of ``WINDOW`` words, each overlapping the next, pass through a recurrent
 both directions; attention weighs its states into one vector, which a linear unit scores.
 A document's score is that of its most toxic window, calibrated to the share of toxic
 documents. Training follows it: each epoch scores all windows of all sampled documents, and
-those that score highest in a document learn its label.
+those that score highest in a document learn its label. Where labels are few, a network
+would learn documents by heart. So the first entry of a word's or n-gram's vector starts at
+how much more often toxic documents hold it, the less the fewer documents do; vectors are
+pulled back to where they started; words are dropped at random; and a fifth of the sample
+is kept back, whose loss picks the epoch and whose labels calibrate the scores.
 
 The network is trained in numpy on the driver, on a bounded sample of labelled documents
 (``TRAINING_DOCS`` of each label, in the order of a hash of their ids). Its weights, about
@@ -22,9 +26,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import labelled
 from tidemark.llm.common import id_and_text
 
 WINDOW = 32
@@ -41,8 +46,14 @@ SCANNED = 2048
 EPOCHS = 10
 #: Training documents that must hold a word for it to have a vector of its own.
 MENTIONS = 5
-#: Pull of word and n-gram vectors towards zero.
+#: Pull of word and n-gram vectors back to where they started.
 DECAY = 0.2
+#: Documents holding a word at which its odds count by 63 percent.
+TRUSTED = 5.0
+#: Share of words whose own vectors a training step leaves out.
+DROPPED = 0.2
+#: Epochs without a better fit on the kept-back fifth that end the training.
+PATIENCE = 4
 #: Distinct words kept with their inputs in a worker; then the memory starts anew.
 REMEMBERED = 300_000
 #: Words whose inputs are made at once.
@@ -199,6 +210,10 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
     if len(set(labels.tolist())) < 2:
         net.scale, net.shift = 0.0, prior
         return net
+    taught = np.ones(len(texts), bool)
+    taught[np.random.default_rng(seed + 1).permutation(len(texts)) < len(texts) // 5] = False
+    if any(len(set(labels[part].tolist())) < 2 for part in (taught, ~taught)):
+        taught[:] = True  # too few to keep any back
     blank = len(distinct)
     grams = [gram_buckets(distinct[at : at + CHUNK]) for at in range(0, len(distinct), CHUNK)]
     bucket = np.concatenate([g[0] for g in grams] or [np.zeros(0, np.int32)])
@@ -206,6 +221,19 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
     starts = np.concatenate([g[1] + end - len(g[0]) for g, end in zip(grams, ends)] or [np.zeros(0, np.int64)])
     counts = np.diff(np.append(starts, len(bucket)))
     word_row = np.array([net.index.get(w, len(net.index)) for w in distinct], np.int64)
+    held = np.zeros((2, blank), np.int64)  # by label: training documents that hold a word
+    held_grams = np.zeros((2, BUCKETS), np.int64)
+    for ids, label, teaches in zip(numbered, labels.astype(int).tolist(), taught.tolist()):
+        if teaches and len(ids):
+            ids = np.unique(ids)
+            held[label, ids] += 1
+            sizes = counts[ids]
+            of = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts[ids], sizes)
+            held_grams[label] += np.bincount(bucket[of], minlength=BUCKETS) > 0
+    totals = np.array([np.sum(labels[taught] == y) for y in (0, 1)])
+    known = word_row < len(net.index)
+    net.weights["words"][word_row[known], 0] = _odds(held[:, known], totals)
+    net.weights["grams"][:, 0] += _odds(held_grams, totals)
     begins = [np.array(window_starts(len(ids))) for ids in numbered]
     amount = np.array([len(at) for at in begins], np.int64)
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), amount)
@@ -216,13 +244,18 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
     stream = np.concatenate([*numbered, np.full(WINDOW, blank, np.int32)])
     del numbered
 
+    start = {name: net.weights[name].copy() for name in ("words", "grams")}
+
     def windows_at(part: np.ndarray) -> np.ndarray:
         """Numbers of the words in the windows (step, window), blank behind a text's end."""
         step = np.arange(WINDOW)[:, None]
         return np.where(step < present_words[part], stream[begins[part] + step], blank)
 
-    def inputs_of(used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs of the words, then of a blank; their n-grams, the words these are of, and how many each has."""
+    def inputs_of(used: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs of the words, then of a blank; their n-grams, the words these are of, and how many each has.
+
+        ``row`` has the place of each word's own vector.
+        """
         sizes = counts[used]
         begin = np.cumsum(sizes) - sizes
         of = np.repeat(np.arange(len(used)), sizes)
@@ -230,7 +263,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
         x = np.zeros((len(used) + 1, INPUT), np.float32)
         if len(used):
             x[:-1] = np.add.reduceat(net.weights["grams"][flat], begin, axis=0) / sizes[:, None]
-            x[:-1] += net.weights["words"][word_row[used]]
+            x[:-1] += net.weights["words"][row]
         return x, flat, of, sizes
 
     weight = np.where(labels == 1, 1.0, np.sum(labels == 1) / max(1, np.sum(labels == 0))).astype(np.float32)
@@ -245,17 +278,25 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
             ids = windows_at(np.arange(at, min(at + SCANNED, len(owner))))
             used = np.unique(ids[ids != blank])
             place[used], place[blank] = np.arange(len(used)), len(used)
-            gates = net.projected(inputs_of(used)[0])
+            gates = net.projected(inputs_of(used, word_row[used])[0])
             logits[at : at + SCANNED] = net.forward(gates[place[ids]], ids != blank)
         return logits
 
-    steps = 0
+    def fit_on_kept_back(logits: np.ndarray) -> float:
+        """Loss of documents that were not taught, both labels weighing alike; of all if all were."""
+        part = ~taught if not taught.all() else taught
+        found, truth, w = np.maximum.reduceat(logits, firsts)[part], labels[part], weight[part]
+        return float((w * (np.logaddexp(0, found) - truth * found)).sum() / w.sum())
+
+    steps, since = 0, 0
+    logits = all_logits()
+    best_fit, best_weights = np.inf, dict(net.weights)
     for epoch in range(epochs):
-        logits = all_logits()
         order = np.lexsort((-logits, owner))  # of each document, the highest first
         top = order[firsts]
         has_second = np.append(np.diff(firsts), len(owner) - firsts[-1]) > 1
         chosen = np.concatenate([top, order[firsts[has_second] + 1]]) if epoch < epochs // 2 else top
+        chosen = chosen[taught[owner[chosen]]]
         rng.shuffle(chosen)
         for part in np.array_split(chosen, max(1, len(chosen) // 64)):
             ids = windows_at(part)
@@ -263,7 +304,8 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
             used = np.unique(ids[present])
             place = np.full(blank + 1, len(used))
             place[used] = np.arange(len(used))
-            x, flat, of, sizes = inputs_of(used)
+            row = np.where(rng.random(len(used)) < DROPPED, len(net.index), word_row[used])
+            x, flat, of, sizes = inputs_of(used, row)
             keep: dict = {}
             logit = net.forward(net.projected(x)[place[ids]], present, keep)
             truth = labels[owner[part]]
@@ -282,14 +324,32 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
                 first += 0.1 * (grad - first)
                 second += 0.001 * (grad**2 - second)
                 net.weights[name] -= (rate * first / (np.sqrt(second) + 1e-8)).astype(np.float32)
-            _step_rows(net.weights["words"], moments["words"], word_row[used], d_x, rate)
-            _step_rows(net.weights["grams"], moments["grams"], flat, d_x[of] / sizes[of][:, None], rate)
-    best = np.maximum.reduceat(all_logits(), firsts)
-    natural = np.where(labels == 1, share / np.mean(labels == 1), (1 - share) / np.mean(labels == 0))
-    net.scale, net.shift = _calibrate(best, labels, natural)
+            _step_rows(net.weights["words"], moments["words"], row, d_x, rate, start["words"])
+            _step_rows(net.weights["grams"], moments["grams"], flat, d_x[of] / sizes[of][:, None], rate, start["grams"])
+        logits = all_logits()
+        now = fit_on_kept_back(logits)
+        since += 1
+        if now < best_fit:
+            best_fit, since = now, 0
+            best_weights = {name: w.copy() for name, w in net.weights.items()}
+            best_logits = logits
+        if since >= PATIENCE:
+            break
+    net.weights = best_weights
+    part = ~taught if not taught.all() else taught
+    best, truth = np.maximum.reduceat(best_logits, firsts)[part], labels[part]
+    natural = np.where(truth == 1, share / np.mean(truth == 1), (1 - share) / np.mean(truth == 0))
+    net.scale, net.shift = _calibrate(best, truth, natural)
     return net
 
 
+def _odds(held: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Log odds that a document holding it is toxic against any other, shrunk where few hold it."""
+    share = (held + 0.5) / (totals[:, None] + 1)
+    trust = 1 - np.exp(-held.sum(axis=0) / TRUSTED)
+    return (trust * np.log(share[1] / share[0]) / 2).astype(np.float32)
+
+
 def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows and the sums of their values."""
     order = np.argsort(rows, kind="stable")
@@ -297,28 +357,36 @@ def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return which, np.add.reduceat(values[order], first, axis=0)
 
 
-def _step_rows(weights: np.ndarray, moments: tuple, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
-    """One step on the rows that have a gradient."""
+def _step_rows(
+    weights: np.ndarray, moments: tuple, rows: np.ndarray, grads: np.ndarray, rate: float, start: np.ndarray
+) -> None:
+    """One step on the rows that have a gradient, pulled back to ``start``."""
     if not len(rows):
         return
     which, total = _by_row(rows, grads)
     first, second = moments
     first[which] += 0.1 * (total - first[which])
     second[which] += 0.001 * (total**2 - second[which])
-    weights[which] -= (rate * (first[which] / (np.sqrt(second[which]) + 1e-8) + DECAY * weights[which])).astype(np.float32)
+    weights[which] -= (rate * (first[which] / (np.sqrt(second[which]) + 1e-8) + DECAY * (weights[which] - start[which]))).astype(np.float32)
 
 
 def _calibrate(logits: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a logistic fit of the labels on the logits (ridge on the scale)."""
-    scale, shift = 1.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(scale * logits + shift, -30, 30)))
-        slope, curve = weight * (p - labels), weight * p * (1 - p) + 1e-6
-        grad = np.array([(slope * logits).sum() + 1.0 * (scale - 1), slope.sum()])
-        hess = np.array([[(curve * logits**2).sum() + 1.0, (curve * logits).sum()], [(curve * logits).sum(), curve.sum()]])
-        step = np.linalg.solve(hess, grad)
-        scale, shift = scale - step[0], shift - step[1]
-    return float(scale), float(shift)
+    """Scale, at most 4.5 times either way, and shift: scores add up to the labels and fit them best."""
+    logits, weight = logits.astype(float), weight / weight.sum()
+    found = []
+    for scale in np.exp(np.linspace(-1.5, 1.5, 31)):
+        low, high = -50.0 - scale * logits.max(), 50.0 - scale * logits.min()
+        for _ in range(60):
+            shift = (low + high) / 2
+            above = (weight * (_logistic(scale * logits + shift) - labels)).sum() > 0
+            low, high = (low, shift) if above else (shift, high)
+        x = scale * logits + shift
+        found.append(((weight * (np.logaddexp(0, x) - labels * x)).sum() + 1e-3 * np.log(scale) ** 2, scale, shift))
+    return tuple(map(float, min(found)[1:]))
+
+
+def _logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 class Scorer:
@@ -380,39 +448,19 @@ class Scorer:
                 if len(owner) >= block:
                     flush()
         flush()
-        return 1 / (1 + np.exp(-np.clip(self.net.scale * best.astype(float) + self.net.shift, -30, 30)))
+        return _logistic(self.net.scale * best.astype(float) + self.net.shift)
 
 
 # ── on Spark ─────────────────────────────────────────────────────────────────
 
 
-def held_out(doc_id: Column) -> Column:
-    """Whether a row is kept from training: crc32 of its id as text is a multiple of 5."""
-    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
-
-
 def train(
     docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS, id_col: str = "doc_id", text_col: str = "text"
 ) -> Network:
-    """Fit a network on at most ``most`` labelled documents of each label, none held out.
-
-    Rows without an id, without a label of 0 or 1, or with contradicting labels teach nothing.
-    """
-    known = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id")
-        .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other"))
-        .where("toxic = other")
-    )
-    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    by_hash = F.xxhash64("doc_id")
-    sample = [known.where(F.col("toxic") == y).orderBy(by_hash, "doc_id").limit(most) for y in (0, 1)]
-    chosen = sample[0].union(sample[1]).select("doc_id", "toxic")
-    texts = id_and_text(docs, id_col, text_col)
-    rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()  # at most 2 x most
-    rows.sort(key=lambda r: r["doc_id"])
-    share = counts.get(1, 0) / max(1, sum(counts.values()))
-    return fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.float32), share)
+    """Fit a network on ``labelled.sample``: at most ``most`` documents of each label, none held out."""
+    texts, share = labelled.sample(docs, labels, "toxic", most, id_col, text_col)
+    rows = sorted(texts.collect())  # at most 2 x most
+    return fit([r["text"] for r in rows], np.array([r["label"] for r in rows], np.float32), share)
 
 
 _scorers: dict[str, Scorer] = {}
@@ -433,9 +481,9 @@ def _chunks(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of each row of ``docs``.
 
-    Only the text is an input. A null or empty text is one window without words. A null id
-    stays null and isn't held out; repeated rows give repeated results; other columns
-    don't matter. No shuffle.
+    Only the text is an input. A null or empty text is one window without words, a very long
+    one as many as it takes. A null id stays null and isn't held out; repeated rows give
+    repeated results; an empty table gives an empty one; other columns don't matter. No shuffle.
     """
     shared, name = docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
@@ -449,7 +497,7 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
                 columns = [part.column("doc_id"), part.column("held_out"), pa.array(values), predicted]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    table = id_and_text(docs, id_col, text_col).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    table = id_and_text(docs, id_col, text_col).select("doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), "text")
     return table.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
