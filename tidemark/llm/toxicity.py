@@ -336,10 +336,8 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
         if since >= PATIENCE:
             break
     net.weights = best_weights
-    part = ~taught if not taught.all() else taught
-    best, truth = np.maximum.reduceat(best_logits, firsts)[part], labels[part]
-    natural = np.where(truth == 1, share / np.mean(truth == 1), (1 - share) / np.mean(truth == 0))
-    net.scale, net.shift = _calibrate(best, truth, natural)
+    natural = np.where(labels == 1, share / np.mean(labels == 1), (1 - share) / np.mean(labels == 0))
+    net.scale, net.shift = _calibrate(np.maximum.reduceat(best_logits, firsts), labels, natural, taught)
     return net
 
 
@@ -370,9 +368,10 @@ def _step_rows(
     weights[which] -= (rate * (first[which] / (np.sqrt(second[which]) + 1e-8) + DECAY * (weights[which] - start[which]))).astype(np.float32)
 
 
-def _calibrate(logits: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Scale, at most 4.5 times either way, and shift: scores add up to the labels and fit them best."""
-    logits, weight = logits.astype(float), weight / weight.sum()
+def _calibrate(logits: np.ndarray, labels: np.ndarray, weight: np.ndarray, taught: np.ndarray) -> tuple[float, float]:
+    """Scale, at most 4.5 times either way, and shift: scores of all add up to the labels, and
+    fit best those of the documents that were not taught (of all if all were)."""
+    logits, judged = logits.astype(float), taught if taught.all() else ~taught
     found = []
     for scale in np.exp(np.linspace(-1.5, 1.5, 31)):
         low, high = -50.0 - scale * logits.max(), 50.0 - scale * logits.min()
@@ -380,8 +379,8 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tu
             shift = (low + high) / 2
             above = (weight * (_logistic(scale * logits + shift) - labels)).sum() > 0
             low, high = (low, shift) if above else (shift, high)
-        x = scale * logits + shift
-        found.append(((weight * (np.logaddexp(0, x) - labels * x)).sum() + 1e-3 * np.log(scale) ** 2, scale, shift))
+        x, y, w = (scale * logits + shift)[judged], labels[judged], weight[judged]
+        found.append(((w * (np.logaddexp(0, x) - y * x)).sum() / w.sum() + 1e-3 * np.log(scale) ** 2, scale, shift))
     return tuple(map(float, min(found)[1:]))
 
 
