@@ -34,10 +34,10 @@ def read_subscriptions(
     if not _Files(spark, path).exists(path):
         return stamp(spark.createDataFrame([], BRONZE_TABLES["subscriptions_bronze"]).drop("_ingest_timestamp"), ingest_ts)
     if multiline:
-        records = json_records(spark, path)
+        parsed = json_records(spark, path)
     else:
-        records = spark.read.text(path).filter(F.trim("value") != "")
-    parsed = records.select("value", json_fields(F.col("value")).alias("_fields"))
+        lines = spark.read.text(path).filter(F.trim("value") != "")
+        parsed = lines.select("value", json_fields(F.col("value")).alias("_fields"))
     return stamp(parsed.select(*columns_of_fields("_fields", F.col("value"), SUBSCRIPTION_FIELDS)), ingest_ts)
 
 
@@ -47,6 +47,8 @@ _TAIL = r"[\s,\]]*$"
 def json_records(spark: SparkSession, path: str) -> DataFrame:
     """The records of multi-line JSON documents in ``value``, one a row; also pieces that are none.
 
+    ``_fields`` has a record's fields as ``json_fields`` does, null for a piece that is none.
+
     Files are cut in front of every opening brace, by many tasks at once; in a feed of flat
     records, as this one is, a piece is a whole record. Of the pieces that aren't (a brace
     inside a text, a nested object, damage), neighbours are put together in the order of the
@@ -69,7 +71,12 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
             F.monotonically_increasing_id().alias("at"),
         )
         .withColumn("closings", closings)
-        .withColumn("whole", (closings == 1) & body.endswith("}") & body.rlike(r'^\s*["}]') & json_fields(F.concat(F.lit("{"), body)).isNotNull())
+        .withColumn("value", F.concat(F.lit("{"), body))
+        .withColumn(
+            "_fields",
+            F.when((F.col("closings") == 1) & body.endswith("}") & body.rlike(r'^\s*["}]'), json_fields(F.col("value"))),
+        )
+        .withColumn("whole", F.col("_fields").isNotNull())
     )
     # Rows are in order within a block; counting them by block numbers those of a file.
     blocks = pieces.groupBy("file", "block").agg(F.count("*").alias("rows"), F.min("at").alias("first"))
@@ -100,9 +107,8 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
         .select("text", F.from_json(F.format_string("[%s]", "text"), "array<map<string,string>>").alias("found"))
     )
     good = (F.size("found") > 0) & F.forall("found", lambda x: x.isNotNull())
-    taken = F.when(good, F.transform("found", lambda x: F.to_json(x))).otherwise(F.array("text"))
-    return (
-        pieces.filter("whole")
-        .select(F.concat(F.lit("{"), body).alias("value"))
-        .unionByName(stretches.select(F.explode(taken).alias("value")))
-    )
+    entry = lambda value, fields: F.struct(value.alias("value"), fields.alias("_fields"))
+    none = F.array(entry(F.col("text"), F.lit(None).cast("map<string,string>")))
+    taken = F.when(good, F.transform("found", lambda x: entry(F.to_json(x), x))).otherwise(none)
+    rest = stretches.select(F.explode(taken).alias("x")).select("x.value", "x._fields")
+    return pieces.filter("whole").select("value", "_fields").unionByName(rest)
