@@ -29,14 +29,13 @@ from tidemark.llm.common import id_and_text, map_rows
 SPACE = "▁"
 #: Distinct words kept with their tokens in a worker; then the memory starts anew.
 REMEMBERED = 500_000
-#: The same for token pairs.
-REMEMBERED_PAIRS = 1_000_000
 
 
 class Codec:
     """Encoder and decoder for one model file."""
 
-    def __init__(self, model: str) -> None:
+    def __init__(self, model: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered  # words; token pairs twice as many
         table = SentencePieceProcessor(model_file=model)
         self.end_id = table.eos_id()
         self.unknown_id = table.unk_id()
@@ -94,7 +93,7 @@ class Codec:
     def fits(self, left: int, right: int) -> bool:
         """Whether re-merging the two tokens' text gives the two (left -1: the start)."""
         pair = [self.pieces[right]] if left < 0 else [self.pieces[left], self.pieces[right]]
-        if len(self.agrees) >= REMEMBERED_PAIRS:
+        if len(self.agrees) >= 2 * self.remembered:
             self.agrees.clear()
         known = self.agrees[left, right] = self.merged("".join(pair)) == pair
         return known
@@ -190,7 +189,7 @@ class Codec:
         out = list(map(words.get, parts))
         if None in out:
             missing = {part for part, entry in zip(parts, out) if entry is None}
-            if len(words) + len(missing) > REMEMBERED:
+            if len(words) + len(missing) > self.remembered:
                 words.clear()
             new = {}
             for part in missing:
@@ -219,9 +218,9 @@ def _utf8(run: bytes) -> str:
 
 
 @lru_cache(maxsize=2)
-def codec(model: str) -> Codec:
+def codec(model: str, remembered: int = REMEMBERED) -> Codec:
     """The codec of a model file, once per worker."""
-    return Codec(model)
+    return Codec(model, remembered)
 
 
 #: What a run can return of each document, by column: type and how it is made.
@@ -240,20 +239,23 @@ def encode_and_decode(
     columns: tuple[str, ...] = ("n_tokens", "token_ids", "decoded"),
     id_col: str = "doc_id",
     text_col: str = "text",
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Encode each text with an end id, decode the ids again; one row per row of ``docs``.
 
     ``columns`` picks from COLUMNS; digests are lowercase hex, of the ids in
     decimal joined by one space, and of the decoded text in UTF-8. ``model`` is a
-    file every worker can open. No shuffle: a row depends on its text alone.
+    file every worker can open, which keeps the tokens of ``remembered`` words at most. No
+    shuffle: a row depends on its text alone.
 
     A null text is empty: the end id alone, decoded as "". A null id stays null.
-    Repeated rows give repeated results; other columns don't matter.
+    Repeated rows give repeated results; an empty table gives an empty one; other columns
+    don't matter.
     """
     schema = ", ".join(["doc_id long", *(f"{name} {COLUMNS[name]}" for name in columns)])
 
     def make():
-        with_model = codec(model)
+        with_model = codec(model, remembered)
         end = with_model.end_id
 
         def one(doc_id: int | None, text: str) -> Iterator[tuple]:

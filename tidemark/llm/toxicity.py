@@ -391,8 +391,8 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 class Scorer:
     """Scores texts, keeping the gate inputs of words it has seen."""
 
-    def __init__(self, net: Network) -> None:
-        self.net = net
+    def __init__(self, net: Network, remembered: int = REMEMBERED) -> None:
+        self.net, self.remembered = net, remembered
         self._forget()
 
     def _forget(self) -> None:
@@ -405,7 +405,7 @@ class Scorer:
         rows = list(map(self.row.get, words))
         if None in rows:
             new = list({w for w, r in zip(words, rows) if r is None})
-            if len(self.row) + len(new) > REMEMBERED and self.row:
+            if len(self.row) + len(new) > self.remembered and self.row:
                 self._forget()
                 return self._rows(words)
             first = len(self.row) + 1
@@ -465,11 +465,11 @@ def train(
 _scorers: dict[str, Scorer] = {}
 
 
-def _scorer(name: str, net: Network) -> Scorer:
+def _scorer(name: str, net: Network, remembered: int = REMEMBERED) -> Scorer:
     """One per worker process and network."""
     if name not in _scorers:
         _scorers.clear()
-        _scorers[name] = Scorer(net)
+        _scorers[name] = Scorer(net, remembered)
     return _scorers[name]
 
 
@@ -500,13 +500,13 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     return table.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def drop_toxic(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, net: Network, text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """The rows of ``docs``, whole, that score below 0.5; cases as in ``score``."""
     shared, name = docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex
     at = docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(name, shared.value)
+        scorer = _scorer(name, shared.value, remembered)
         for batch in batches:
             for part in _chunks(batch):
                 values = scorer.scores([t or "" for t in part.column(at).to_pylist()])
