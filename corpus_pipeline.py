@@ -3,6 +3,10 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of
 ``documents``, or, the last one, the encoded documents. Toxic documents, near duplicates
 and documents with benchmark passages go; repeated lines are cut out of the others.
+
+Null and empty texts are clean, repeat nothing and are encoded as the end id; very long
+texts are read whole; of rows with one id and text, near-duplicate removal keeps one; an
+empty table stays empty, with its columns, until the last stage, whose columns are its own.
 """
 
 from __future__ import annotations
@@ -16,6 +20,10 @@ from tidemark.llm.common import ship
 from tidemark.llm.components import stored
 
 
+#: Words a worker keeps for a stage: the stages share the workers, and their memory.
+REMEMBERED = 100_000
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,7 +31,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def without_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, trained on their labels, scores below 0.5."""
     network = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.drop_toxic(docs, network)
+    return toxicity.drop_toxic(docs, network, remembered=REMEMBERED)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +58,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     columns = ("n_tokens", "token_ids", "ids_sha256", "decoded_sha256")
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return sentencepiece_codec.encode_and_decode(docs, model, columns)
+    return sentencepiece_codec.encode_and_decode(docs, model, columns, remembered=REMEMBERED)
 
 
 STAGES = [
@@ -61,7 +69,7 @@ STAGES = [
     ("SentencePiece encoding and decoding", encoded),
 ]
 
-#: A trained network and an encoder are no SQL; tests hold the run against brute force.
+#: A trained network and an encoder are no SQL. The operators are tested one by one, the run by what its stages keep.
 ORACLE_SQL = None
 
 
