@@ -3,9 +3,11 @@
 import re
 
 import pytest
-from frames import events_silver, subscriptions_silver
+from frames import MARKETING_BRONZE, SUBSCRIPTIONS_BRONZE, events_silver, frame, subscriptions_silver
 
 from tidemark.fixtures import MRR_AS_OF, MRR_START
+from tidemark.operators.marketing import marketing_spend_silver
+from tidemark.operators.subscriptions import subscriptions_silver as cleaned_subscriptions
 from tidemark.plans.activity import daily_active_users, weekly_cohort_retention
 from tidemark.plans.recurring import mrr_daily
 from tidemark.plans.revenue import daily_revenue_gross, daily_revenue_net, ltv_per_user
@@ -82,3 +84,16 @@ def test_mrr_has_no_join(spark, tmp_path):
         {"subscription_id", "price", "start_date", "end_date", "status"},
         {"user_id", "start_date", "end_date", "status"},
     ]
+
+
+@pytest.mark.parametrize(
+    "table, schema",
+    [(marketing_spend_silver, MARKETING_BRONZE), (cleaned_subscriptions, SUBSCRIPTIONS_BRONZE)],
+)
+def test_previous_rows_come_from_one_scan(spark, tmp_path, table, schema):
+    frame(spark, schema, []).write.parquet(str(tmp_path / "bronze"))
+    plan = plan_of(table(spark.read.parquet(str(tmp_path / "bronze"))))
+    assert len(columns_read(plan)) == 1 and "Join" not in plan
+    # Copies, segments, rows within a segment, first and last rows; none by channel or user alone.
+    assert plan.count("hashpartitioning(") == 3 and plan.count("rangepartitioning(") == 1
+    assert not re.search(r"hashpartitioning\((channel|user_id)#\d+, \d+", plan)

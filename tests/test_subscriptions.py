@@ -111,7 +111,7 @@ def test_inverted_dates_and_unknown_values_stay(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_histories_cut_by_day_get_the_flags_of_whole_ones(spark, seed):
+def test_histories_cut_into_segments_get_the_flags_of_whole_ones(spark, seed):
     rng = random.Random(seed)
     days = [None] + [f"2024-01-{day:02d}" for day in range(1, 9)]
     rows = [
@@ -155,3 +155,58 @@ def test_users_never_meet_in_one_task(spark):
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(user_id" not in plan
     assert split.filter(F.col("is_overlapping")).count() == 49
+
+
+@pytest.fixture
+def many_segments(spark):
+    """As many segments as on a cluster; small ones are not merged."""
+    changed = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def crowded(spark, count):
+    """One key with two thirds of all rows on one day, the null key with most of the rest."""
+    number = F.col("id")
+    hot = number % 3 > 0
+    return spark.range(count).select(
+        F.when(hot, "hot").when(number % 9 > 0, F.lit(None)).otherwise(number.cast("string")).alias("key"),
+        F.when(hot, "2024-01-05").otherwise(F.format_string("2024-01-%02d", number % 7 + 1)).cast("date").alias("day"),
+        F.format_string("s%07d", number * 7919 % count).alias("row"),
+        number.alias("value"),
+    )
+
+
+def test_a_crowded_day_spreads_over_tasks(spark, many_segments):
+    count = 20_000
+    df = crowded(spark, count)
+    split = with_previous(df, "key", "day", "row", {"before": "value"})
+    sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == count and max(sizes) < count / 3  # a plain lag: 2 / 3 in one task
+    whole = Window.partitionBy("key").orderBy(F.asc_nulls_first("day"), F.asc_nulls_first("row"))
+    plain = df.withColumn("before", F.lag("value").over(whole))
+    assert split.exceptAll(plain).count() == 0
+
+
+@pytest.mark.parametrize("rows", [0, 1, 40])
+def test_segments_of_few_rows(spark, many_segments, rows):
+    df = crowded(spark, 40).limit(rows)
+    whole = Window.partitionBy("key").orderBy(F.asc_nulls_first("day"), F.asc_nulls_first("row"))
+    expected = df.withColumn("before", F.lag("value").over(whole)).collect()
+    found = with_previous(df, "key", "day", "row", {"before": "value"}).collect()
+    assert sorted(found, key=str) == sorted(expected, key=str) and len(found) == rows
+
+
+def test_equal_rows_across_segments(spark, many_segments):
+    df = spark.range(100).select(F.lit("k").alias("key"), F.lit("d").alias("day"), F.lit("r").alias("row"), "id")
+    found = with_previous(df, "key", "day", "row", {"before": "id"}).collect()
+    befores = [row["before"] for row in found]
+    assert befores.count(None) == 1 and len(set(befores)) == 100  # each row once, and one has none
+    assert all(row["before"] != row["id"] for row in found)

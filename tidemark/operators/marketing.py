@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.parsing import parse_date, parse_double
 from tidemark.functions.rules import Rules, first_reason, is_clean
+from tidemark.operators.previous_row import with_previous
 from tidemark.operators.quality import DROP, Rule, drop_violations
 
 # The rules' names and predicates.
@@ -61,21 +62,12 @@ def deduplicate_spend(spend: DataFrame) -> DataFrame:
 def flag_gaps(spend: DataFrame) -> DataFrame:
     """Add ``has_gap_before``: more than a day since the channel's previous row.
 
-    Only the first row of a channel's day can follow a gap, so the previous day
-    is looked up over distinct days, not over all rows of a channel. The flag
-    goes back to that row, the one with the least spend, by the full row key:
-    no channel or day is gathered in one task.
+    Rows of a day are ordered by spend, so only the one with the least can follow a
+    gap. The feed is computed once, and no channel or day is gathered in one task.
     """
-    days = spend.groupBy("channel", "date").agg(F.min("spend").alias("spend"))
-    by_channel = Window.partitionBy("channel").orderBy("date")
-    after_gap = (
-        days.withColumn("_since", F.datediff("date", F.lag("date").over(by_channel)))
-        .filter(F.col("_since") > 1)
-        .select("date", "channel", "spend", F.lit(True).alias("has_gap_before"))
-    )
-    return spend.join(after_gap, ["date", "channel", "spend"], "left").withColumn(
-        "has_gap_before", F.coalesce("has_gap_before", F.lit(False))
-    )
+    rows = with_previous(spend, "channel", "date", "spend", {"_previous_date": "date"})
+    gap = F.datediff("date", "_previous_date") > 1
+    return rows.withColumn("has_gap_before", F.coalesce(gap, F.lit(False))).drop("_previous_date")
 
 
 def checked_spend(bronze: DataFrame) -> DataFrame:

@@ -12,38 +12,34 @@ def with_previous(
     """Add, per row, columns of the row before it within ``key``.
 
     Rows are ordered by ``day``, then by ``row_id``, nulls first; ``previous`` maps
-    new names to source columns.
+    new names to source columns. Null keys are one key. The order of rows equal in
+    all three is not defined.
 
-    A plain ``lag`` would send all rows of a key to one task. Here every key is cut
-    into its days: ``lag`` runs within the day, and the first row of a day gets its
-    values from the last row of the day before, found over one row per day. One task
-    thus holds at most a key's rows of one day, or a row for each day of a key.
+    A plain ``lag`` would send all rows of a key to one task. Here the rows are laid
+    out in segments of about equal size, by bounds that Spark samples over (key, day,
+    row_id): a crowded key spreads over many, even if all its rows have one day.
+    ``lag`` runs within a segment; the first row of a key in a segment then takes its
+    values from the key's last row before it, among first and last rows only. One task
+    holds a segment, or two rows of each segment of a key. There is no join: the input
+    is computed once.
     """
-    # Chunk columns are never null, so that the join below finds both sides
-    # partitioned already. The stand-ins for null sort first, like null.
-    chunk = ["_key", "_day"]
-    df = df.withColumns(
+    order = [F.asc_nulls_first(day), F.asc_nulls_first(row_id)]
+    segments = df.repartitionByRange(F.asc_nulls_first(key), *order).withColumn(
+        "_segment", F.spark_partition_id()
+    )
+    within = Window.partitionBy("_segment", key).orderBy(*order)
+    rows = segments.withColumns(
         {
-            "_key": F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")),
-            "_day": F.coalesce(F.col(day), F.lit("0001-01-01").cast("date")),
+            "_first": F.row_number().over(within) == 1,
+            "_last": F.lead(F.lit(True)).over(within).isNull(),
         }
-    )
-    in_day = Window.partitionBy(*chunk).orderBy(F.asc_nulls_first(day), F.asc_nulls_first(row_id))
-    rows = df.withColumns(
-        {"_first": F.row_number().over(in_day) == 1}
-        | {name: F.lag(source).over(in_day) for name, source in previous.items()}
-    )
-    latest = F.struct(F.col(day).isNotNull(), day, F.col(row_id).isNotNull(), row_id)
-    tails = df.groupBy(*chunk).agg(F.max_by(F.struct(*previous.values()), latest).alias("_tail"))
-    by_day = Window.partitionBy("_key").orderBy("_day")
-    carried = tails.select(*chunk, F.lag("_tail").over(by_day).alias("_carried"))
-    return (
-        rows.join(carried, chunk, "left")
-        .withColumns(
-            {
-                name: F.when(F.col("_first"), F.col("_carried")[source]).otherwise(F.col(name))
-                for name, source in previous.items()
-            }
-        )
-        .drop("_first", "_carried", *chunk)
-    )
+        | {name: F.lag(source).over(within) for name, source in previous.items()}
+    ).withColumn("_place", F.when(F.col("_first") | F.col("_last"), -1).otherwise(F.col("_segment")))
+    # Of a segment there are at most two such rows, the first and the last.
+    edges = Window.partitionBy("_place", key).orderBy("_segment", F.desc("_first"))
+    return rows.withColumns(
+        {
+            name: F.when(F.col("_first"), F.lag(source).over(edges)).otherwise(F.col(name))
+            for name, source in previous.items()
+        }
+    ).drop("_segment", "_first", "_last", "_place")
