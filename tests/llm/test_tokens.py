@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm import sharding, token_files
 from tidemark.llm.byte_pairs import BytePairs
+from tidemark.llm.common import kept
 from tidemark.llm.sentencepiece_codec import Codec, encode_and_decode
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -154,3 +155,10 @@ def test_shards_of_awkward_rows(spark, awkward, empty):
     assert sharding.place(empty, TREE).collect() == []
     same = spark.createDataFrame([(1, "x")] * 50, "doc_id long, text string")
     assert sorted(r.slot for r in sharding.place(same, TREE).collect()) == list(range(50))
+
+
+def test_a_worker_keeps_one_memory_at_a_time():
+    first = kept(("first",), dict)
+    assert kept(("first",), dict) is first
+    second = kept(("second",), dict)
+    assert kept(("second",), dict) is second and kept(("first",), dict) is not first

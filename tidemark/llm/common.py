@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,21 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+_kept: dict[tuple, Any] = {}
+
+
+def kept(key: tuple, make: Callable[[], Any]) -> Any:
+    """What ``make`` returned for ``key``; a worker process keeps one such object at a time.
+
+    The stages of a run share the workers: without this, memories of words that a stage
+    before has filled would stay beside those of the next.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns every text operator needs; a null text is empty."""
     return docs.select(

@@ -17,14 +17,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import groupby
 
 import ahocorasick
 from pyspark.sql import DataFrame
 from sentencepiece import SentencePieceProcessor
 
-from tidemark.llm.common import id_and_text, map_rows
+from tidemark.llm.common import id_and_text, kept, map_rows
 
 SPACE = "▁"
 #: Distinct words kept with their tokens in a worker; then the memory starts anew.
@@ -217,10 +216,9 @@ def _utf8(run: bytes) -> str:
     return "".join(out)
 
 
-@lru_cache(maxsize=2)
 def codec(model: str, remembered: int = REMEMBERED) -> Codec:
     """The codec of a model file, once per worker."""
-    return Codec(model, remembered)
+    return kept(("codec", model, remembered), lambda: Codec(model, remembered))
 
 
 #: What a run can return of each document, by column: type and how it is made.

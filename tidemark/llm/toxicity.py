@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import labelled
-from tidemark.llm.common import id_and_text
+from tidemark.llm.common import id_and_text, kept
 
 WINDOW = 32
 STEP = 20
@@ -462,15 +462,9 @@ def train(
     return fit([r["text"] for r in rows], np.array([r["label"] for r in rows], np.float32), share)
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(name: str, net: Network, remembered: int = REMEMBERED) -> Scorer:
     """One per worker process and network."""
-    if name not in _scorers:
-        _scorers.clear()
-        _scorers[name] = Scorer(net, remembered)
-    return _scorers[name]
+    return kept(("scorer", name, remembered), lambda: Scorer(net, remembered))
 
 
 def _chunks(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
